@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.merge import insert_new, upsert
 from ..quality.contract import verify
 from ..quality.engine import validate
+from ..quality.rules import ROW_COUNT
 from ..quality.suites import (
     SNAPSHOT_ROWS,
     bronze_suite,
@@ -105,98 +108,113 @@ def run_latest(wh: Warehouse, information_path: str, status_path: str, at: datet
 def run_batch(wh: Warehouse, information: DataFrame, status: DataFrame, at: datetime,
               settings: Settings = Settings(), instant: datetime | Column | None = None) -> None:
     """Envelopes of any number of snapshots to silver, then gold, with a run-log entry."""
-    run_id = at.isoformat()
-    for dag, step in ((SILVER_DAG, lambda: run_silver(wh, information, status, at, settings,
-                                                      instant)),
-                      (GOLD_DAG, lambda: run_gold(wh, at, settings, step_result))):
-        start = datetime.now(timezone.utc)
-        try:
-            step_result = step()
-        except Exception as error:
-            wh.log.run(dag_id=dag, run_id=run_id, start_time=start, status="failed",
-                       end_time=datetime.now(timezone.utc), error_message=str(error)[:2000])
-            raise
-        wh.log.run(dag_id=dag, run_id=run_id, start_time=start, status="success",
-                   end_time=datetime.now(timezone.utc), records_processed=step_result[0])
+    def silver() -> tuple:
+        return run_silver(wh, information, status, at, settings, instant)
+
+    batch = _logged(wh, SILVER_DAG, at, silver)
+    _logged(wh, GOLD_DAG, at, lambda: run_gold(wh, at, settings, since=batch[1]))
+
+
+def _logged(wh: Warehouse, dag: str, at: datetime, step: Callable[[], tuple]) -> tuple:
+    """Run ``step``; its outcome goes to the run log, its first result as record count."""
+    entry = {"dag_id": dag, "run_id": at.isoformat(), "start_time": datetime.now(timezone.utc)}
+    try:
+        result = step()
+    except Exception as error:
+        wh.log.run(**entry, end_time=datetime.now(timezone.utc), status="failed",
+                   error_message=str(error)[:2000])
+        raise
+    wh.log.run(**entry, end_time=datetime.now(timezone.utc), status="success",
+               records_processed=result[0])
+    return result
+
+
+@contextmanager
+def _kept(*frames: DataFrame) -> Iterator[None]:
+    """Keep frames that several checks read; lost blocks are recomputed from the files."""
+    for df in frames:
+        df.persist()
+    try:
+        yield
+    finally:
+        for df in frames:
+            df.unpersist()
 
 
 def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: datetime,
                settings: Settings = Settings(),
-               instant: datetime | Column | None = None) -> tuple[int, object, object]:
-    """Validate, transform, validate, check, merge.  Returns ``(new readings, first, last
-    instant of the batch)``.
+               instant: datetime | Column | None = None) -> tuple[int, date | None]:
+    """Validate, transform, validate, check, merge.
 
     Nothing is merged unless every gate and contract holds; what the gates found is saved
-    either way.
+    either way.  Returns the number of new readings and the first day of the batch.
     """
     spark, log = wh.spark, wh.log
-    # The batch is read by several checks; keep it.  Lost blocks are recomputed from the files.
-    status, information = status.persist(), information.persist()
-    try:
+    with _kept(status, information):
         bronze = bronze_columns(status, STATUS_COLUMNS)
         validate(spark, bronze, bronze_suite(settings.rows), "bronze_suite", SILVER_DAG, at, log,
                  snapshot="file")
-
-        station = build_station(bronze_columns(information, list(INFORMATION_FIELDS))).persist()
-        reading = build_readings(bronze, file_instant() if instant is None else instant).persist()
-        validate(spark, station, station_suite(settings.rows, settings.variant),
-                 "silver_station_suite", SILVER_DAG, at, log)
-        validate(spark, reading, reading_suite(settings.rows), "silver_releve_suite", SILVER_DAG,
-                 at, log, snapshot="date_collecte",
-                 extra={"read_as_zero": unreadable_counts(bronze).first().asDict()})
-
-        verify(station, STATION_CONTRACT)
-        # A reading may refer to a station known from an earlier snapshot's dimension only if
-        # this snapshot still lists it, as the relation is checked within the batch.
-        verify(reading, READING_CONTRACT, {"station": station})
-
-        wh.station.replace(upsert(wh.station.read(), station, ["id_station"]))
-        first, last = reading.agg(F.min("date_collecte"), F.max("date_collecte")).first()
-        new = insert_new(wh.reading.read(first, last), reading, READING_KEY).persist()
-        try:
-            count = new.count()
-            if count:
-                wh.reading.append(new)
-        finally:
-            new.unpersist()
-        log.freshness(freshness(reading.withColumn("source", F.lit("station_status")), "source",
-                                "date_collecte", at, settings.fresh_minutes))
-        return count, first, last
-    finally:
-        for df in (status, information, locals().get("station"), locals().get("reading")):
-            if df is not None:
-                df.unpersist()
+        station = build_station(bronze_columns(information, list(INFORMATION_FIELDS)))
+        reading = build_readings(bronze, file_instant() if instant is None else instant)
+        with _kept(station, reading):
+            validate(spark, station, station_suite(settings.rows, settings.variant),
+                     "silver_station_suite", SILVER_DAG, at, log)
+            validate(spark, reading, reading_suite(settings.rows), "silver_releve_suite",
+                     SILVER_DAG, at, log, snapshot="date_collecte",
+                     extra={"read_as_zero": unreadable_counts(bronze).first().asDict()})
+            verify(station, STATION_CONTRACT)
+            verify(reading, READING_CONTRACT, {"station": station})
+            return merge_silver(wh, station, reading, at, settings)
+
+
+def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame, at: datetime,
+                 settings: Settings) -> tuple[int, date | None]:
+    """Upsert the dimension, then append the readings not yet stored."""
+    wh.station.replace(upsert(wh.station.read(), station, ["id_station"]))
+    # Only the days of the batch can hold the same key.
+    first, last = wh.reading.days_of(reading)
+    new = insert_new(wh.reading.read(first, last), reading, READING_KEY)
+    with _kept(new):
+        count = new.count()
+        if count:
+            wh.reading.append(new)
+    source = reading.withColumn("source", F.lit("station_status"))
+    wh.log.freshness(freshness(source, "source", "date_collecte", at, settings.fresh_minutes))
+    return count, first
 
 
 def run_gold(wh: Warehouse, at: datetime, settings: Settings = Settings(),
-             batch: tuple[int, object, object] | None = None) -> tuple[int]:
+             since: date | None = None) -> tuple[int]:
     """Current state, then hourly trend, then validation that alerts but never stops.
 
-    ``batch`` is what :func:`run_silver` returned.  With it, and ``incremental`` set, the
-    history outside the days of the batch is not read again.
+    With ``since`` (the first day of the batch) and ``incremental`` set, only the days
+    from there on are read, or from the newest gold row on if that is older, so that a cycle
+    whose gold step failed is made up for by the next one.
     """
-    stations = wh.station.read()
-    incremental = settings.incremental and batch is not None
-    recent = wh.reading.read(batch[1], batch[2]) if incremental else wh.reading.read()
+    stations, published = wh.station.read(), wh.current.read()
+    newest = published.agg(F.to_date(F.max("derniere_collecte"))).first()[0]
+    incremental = settings.incremental and since is not None and newest is not None
+    recent = wh.reading.read(min(since, newest)) if incremental else wh.reading.read()
 
-    candidates = recent
-    if incremental:
-        columns = known_latest(wh.current.read())
-        # The same reading may come from both sides; latest() keeps ties, so remove it here.
-        candidates = recent.select(*columns.columns).unionByName(columns) \
-            .dropDuplicates(READING_KEY)
-    current = upsert(wh.current.read(), build_current(candidates, stations), ["id_station"])
-    wh.current.replace(current)
-    verify(wh.current.read(), CURRENT_CONTRACT)
-
-    # Only the days read above are rewritten; partials of other days stay as they are.
+    # Only the days read are rewritten; partials of other days stay as they are.  This comes
+    # before the current state moves the starting point of the next cycle.
     (daily_partials(recent).write.mode("overwrite").partitionBy("day")
      .option("partitionOverwriteMode", "dynamic").parquet(wh.partials_path))
+
+    candidates = recent
+    if incremental:
+        known = known_latest(published)
+        # A reading may come from both sides; ties are kept by latest(), so remove it here.
+        candidates = (recent.select(*known.columns).unionByName(known)
+                      .dropDuplicates(READING_KEY))
+    wh.current.replace(upsert(published, build_current(candidates, stations), ["id_station"]))
+    current = wh.current.read()
+    verify(current, CURRENT_CONTRACT)
+
     wh.hourly.replace(build_hourly(wh.partials(), stations), sort=["id_station", "heure"])
     verify(wh.hourly.read(), HOURLY_CONTRACT)
     wh.define_views()
 
-    results = validate(wh.spark, wh.current.read(), gold_suite(settings.rows, settings.variant),
+    results = validate(wh.spark, current, gold_suite(settings.rows, settings.variant),
                        "gold_suite", GOLD_DAG, at, wh.log, stop_on_critical=False)
-    rows = next(r for r in results if r.rule_name.endswith("row_count_to_be_between"))
-    return (rows.checked,)
+    return (next(r.checked for r in results if r.rule_name == ROW_COUNT),)

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import mean_half_up
 from ..operators.conform import conform, surrogate_key
 from ..operators.latest import latest, latest_one
 from ..quality.contract import verify
@@ -77,12 +78,14 @@ def run_history(runs: DataFrame, dag: str = "dag_id", start: str = "start_time",
                 records: str = "records_processed", tiebreak: str = "run_id",
                 failed: str = "failed") -> DataFrame:
     """Per dag: runs, failures, mean and longest duration in seconds, records, last status."""
-    seconds = (F.unix_micros(F.col(end)) - F.unix_micros(F.col(start))).cast("decimal(18,0)")
-    return runs.withColumn("_seconds", seconds / 1000000).groupBy(dag).agg(
+    micros = (F.unix_micros(F.col(end).cast("timestamp"))
+              - F.unix_micros(F.col(start).cast("timestamp")))
+    finished = F.count("_micros") * 1000000
+    return runs.withColumn("_micros", micros).groupBy(dag).agg(
         F.count(F.lit(1)).alias("runs"),
         F.sum(F.when(F.col(status) == failed, 1).otherwise(0)).alias("failures"),
-        F.round(F.avg("_seconds"), 2).alias("mean_seconds"),
-        F.round(F.max("_seconds"), 2).alias("max_seconds"),
+        mean_half_up(F.sum("_micros"), finished, 2).alias("mean_seconds"),
+        F.round(F.max("_micros").cast("decimal(18,0)") / 1000000, 2).alias("max_seconds"),
         F.sum(records).alias("records"),
         F.max_by(status, F.struct(start, tiebreak)).alias("last_status"))
 

@@ -62,29 +62,27 @@ def contract_counts(df: DataFrame, contract: TableContract,
     frames = []
     if rows:
         counted = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, bad) in enumerate(rows)])
-        frames.append(counted.select(F.inline(F.array(*[
-            _count(i, name, F.col(f"c{i}")) for i, (name, _) in enumerate(rows)]))))
+        frames.append(_as_rows(counted, 0, [name for name, _ in rows]))
     number = len(rows)
     for keys in contract.unique:
-        total = duplicated_keys(df, list(keys)).agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
-        frames.append(_single(total, number, f"unique({', '.join(keys)})"))
+        total = duplicated_keys(df, list(keys)).selectExpr(
+            f"coalesce(sum(rows), 0) AS c{number}")
+        frames.append(_as_rows(total, number, [f"unique({', '.join(keys)})"]))
         number += 1
     for column, (table, parent) in (contract.foreign_keys or {}).items():
         orphans = orphan_keys(df, (tables or {})[table], column, parent)
-        frames.append(_single(orphans.agg(F.count(F.lit(1)).alias("n")), number,
-                              f"foreign_key({column} -> {table}.{parent})"))
+        frames.append(_as_rows(orphans.selectExpr(f"count(1) AS c{number}"), number,
+                               [f"foreign_key({column} -> {table}.{parent})"]))
         number += 1
     return reduce(DataFrame.unionByName, frames)
 
 
-def _count(number: int, name: str, violations: Column) -> Column:
-    return F.struct(F.lit(number).alias("constraint_no"), F.lit(name).alias("constraint"),
-                    violations.cast("bigint").alias("violations"))
-
-
-def _single(total: DataFrame, number: int, name: str) -> DataFrame:
-    return total.select(F.inline(F.array(_count(number, name, F.col("n")))))
+def _as_rows(counted: DataFrame, first: int, names: Sequence[str]) -> DataFrame:
+    """One row of counters ``c<n>`` to one row per constraint."""
+    quoted = [n.replace("\\", "\\\\").replace("'", "\\'") for n in names]
+    structs = [f"named_struct('constraint_no', {i}, 'constraint', '{n}', "
+               f"'violations', CAST(c{i} AS BIGINT))" for i, n in enumerate(quoted, first)]
+    return counted.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def verify(df: DataFrame, contract: TableContract,

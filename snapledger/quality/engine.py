@@ -29,11 +29,20 @@ class QualityGateError(ValueError):
     """A critical rule failed; its results and alerts have been saved."""
 
 
-def _result(number: int, rule: Rule, checked: Column, unexpected: Column,
-            success: Column) -> Column:
-    values = [F.lit(number), F.lit(rule.kind), F.lit(rule.target), F.lit(rule.severity),
-              F.lit(rule.reason), checked, unexpected, success]
-    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, RESULT.fields)])
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _as_rows(counted: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    """One row of counters (``seen<n>``, ``bad<n>``, ``ok<n>``) to one row per rule."""
+    structs = []
+    for number, rule in rules:
+        texts = [_literal(t) for t in (rule.kind, rule.target, rule.severity, rule.reason)]
+        values = [str(number), *texts, f"seen{number}", f"bad{number}", f"ok{number}"]
+        fields = [f"'{f.name}', CAST({v} AS {f.dataType.simpleString()})"
+                  for f, v in zip(RESULT.fields, values)]
+        structs.append(f"named_struct({', '.join(fields)})")
+    return counted.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def _aggregated(df: DataFrame, rules: Sequence[tuple[int, Rule]],
@@ -43,43 +52,40 @@ def _aggregated(df: DataFrame, rules: Sequence[tuple[int, Rule]],
     Counters are taken per snapshot (the whole frame is one snapshot by default) and then
     added up; a row-count rule must hold for every snapshot.
     """
+    counted_rules = [(n, r) for n, r in rules if is_row_rule(r) and r.column in df.columns]
     counters = [F.count(F.lit(1)).alias("rows")]
-    for number, rule in rules:
-        if is_row_rule(rule) and rule.column in df.columns:
-            counters.append(F.count_if(broken(df, rule)).alias(f"bad{number}"))
-            counters.append(F.count_if(present(df, rule.column)).alias(f"seen{number}"))
+    for number, rule in counted_rules:
+        counters.append(F.count_if(broken(df, rule)).alias(f"bad{number}"))
+        counters.append(F.count_if(present(df, rule.column)).alias(f"seen{number}"))
     per_snapshot = df.groupBy(snapshot).agg(*counters) if snapshot else df.agg(*counters)
 
     names = [c for c in per_snapshot.columns if c != snapshot]
-    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
+    totals = [F.expr(f"coalesce(sum({c}), 0)").alias(c) for c in names]
     totals.append(F.count(F.lit(1)).alias("snapshots"))
-    rows = F.col("rows")
     for number, rule in rules:
         if rule.kind == ROW_COUNT:
-            outside = ~_within(rows, rule)
-            totals.append(F.count_if(outside).alias(f"off{number}"))
-            totals.append(F.coalesce(F.sum(F.when(outside, rows)), F.lit(0))
+            outside = f"NOT ({_within('rows', rule)})"
+            totals.append(F.expr(f"count_if({outside})").alias(f"off{number}"))
+            totals.append(F.expr(f"coalesce(sum(rows) FILTER (WHERE {outside}), 0)")
                           .alias(f"bad{number}"))
-    counted = per_snapshot.agg(*totals)
 
-    results = []
+    outcomes = []
     for number, rule in rules:
         if rule.kind == ROW_COUNT:
-            success = F.when(F.col("snapshots") == 0, _within(F.lit(0), rule)) \
-                .otherwise(F.col(f"off{number}") == 0)
-            results.append(_result(number, rule, rows, F.col(f"bad{number}"), success))
+            # Without any row there is no snapshot to count; 0 rows must be acceptable.
+            ok = f"CASE WHEN snapshots = 0 THEN {_within('0', rule)} ELSE off{number} = 0 END"
+            outcomes += [f"rows AS seen{number}", f"{ok} AS ok{number}"]
         elif rule.column not in df.columns:
-            results.append(_result(number, rule, F.lit(None), F.lit(None), F.lit(False)))
+            outcomes += [f"NULL AS seen{number}", f"NULL AS bad{number}", f"false AS ok{number}"]
         elif rule.kind == EXISTS:
-            results.append(_result(number, rule, rows, F.lit(0), F.lit(True)))
+            outcomes += [f"rows AS seen{number}", f"0 AS bad{number}", f"true AS ok{number}"]
         else:
-            bad = F.col(f"bad{number}")
-            results.append(_result(number, rule, F.col(f"seen{number}"), bad, bad == 0))
-    return counted.select(F.inline(F.array(*results)))
+            outcomes.append(f"bad{number} = 0 AS ok{number}")
+    return _as_rows(per_snapshot.agg(*totals).selectExpr("*", *outcomes), rules)
 
 
-def _within(rows: Column, rule: Rule) -> Column:
-    return rows.between(rule.params["min_value"], rule.params["max_value"])
+def _within(rows: str, rule: Rule) -> str:
+    return f"{rows} BETWEEN {int(rule.params['min_value'])} AND {int(rule.params['max_value'])}"
 
 
 def _uniqueness(df: DataFrame, number: int, rule: Rule) -> DataFrame:
@@ -89,12 +95,9 @@ def _uniqueness(df: DataFrame, number: int, rule: Rule) -> DataFrame:
     """
     groups = (df.filter(present(df, rule.column)).groupBy(F.col(f"`{rule.column}`"))
               .agg(F.count(F.lit(1)).alias("n")))
-    repeated = F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0))
-    counted = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-                         F.coalesce(repeated, F.lit(0)).alias("repeated"))
-    bad = F.col("repeated")
-    return counted.select(F.inline(F.array(
-        _result(number, rule, F.col("checked"), bad, bad == 0))))
+    counted = groups.selectExpr(f"coalesce(sum(n), 0) AS seen{number}",
+                                f"coalesce(sum(n) FILTER (WHERE n > 1), 0) AS bad{number}")
+    return _as_rows(counted.selectExpr("*", f"bad{number} = 0 AS ok{number}"), [(number, rule)])
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule], snapshot: str | None = None) -> DataFrame:

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Building a plan is thousands of small calls; do not record a Python stack for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Streaming dedup state lives on local disk with changelog upload, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,18 +80,22 @@ class AppendTable:
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return root.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(root)
 
-    def read(self, since=None, until=None) -> DataFrame:
-        """All rows, or those whose date lies between the dates of two instants (pruned)."""
+    def read(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """All rows, or those of the days from ``since`` to ``until`` (other days pruned)."""
         if not self.exists():
             return self.spark.createDataFrame([], self.schema)
         stored = T.StructType([*self.schema.fields, T.StructField(self.DATE, T.DateType())])
         df = self.spark.read.schema(stored).parquet(self.path)
         if since is not None:
-            df = df.filter(F.col(self.DATE) >= F.lit(since).cast("date"))
+            df = df.filter(F.col(self.DATE) >= F.lit(since))
         if until is not None:
-            df = df.filter(F.col(self.DATE) <= F.lit(until).cast("date"))
+            df = df.filter(F.col(self.DATE) <= F.lit(until))
         return df.drop(self.DATE)
 
+    def days_of(self, df: DataFrame) -> tuple[date | None, date | None]:
+        """First and last day of a batch: two values, whatever its size."""
+        return tuple(df.agg(F.to_date(F.min(self.ts)), F.to_date(F.max(self.ts))).first())
+
     def append(self, df: DataFrame) -> None:
         (conform(df, self.schema).withColumn(self.DATE, F.to_date(self.ts))
          .write.mode("append").partitionBy(self.DATE).parquet(self.path))
