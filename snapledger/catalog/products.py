@@ -18,6 +18,7 @@ from ..operators import (
 )
 from ..operators.profiles import Roles
 from ..session import scratch_dir
+from ..sources import overwrite_days
 from .registry import Tables, query
 
 STOCK = Roles(key="partkey", ts="l_shipdate", available="quantity", capacity="p_size",
@@ -123,8 +124,7 @@ def hourly_profile_incremental(tables: Tables) -> DataFrame:
     first_end, second_start = date(2024, 1, 16), date(2024, 1, 15)
     for load in (readings.filter(F.col("ts") < F.lit(first_end).cast("timestamp_ntz")),
                  readings.filter(F.col("ts") >= F.lit(second_start).cast("timestamp_ntz"))):
-        (hourly_partials(load, USAGE, day=F.to_date("ts")).write.mode("overwrite")
-         .partitionBy("day").option("partitionOverwriteMode", "dynamic").parquet(path))
+        overwrite_days(hourly_partials(load, USAGE, day=F.to_date("ts")), path)
     return partials_to_profile(tables.spark.read.parquet(path), usage_dimension(tables), USAGE)
 
 

@@ -18,12 +18,13 @@ def pivot_sum(json_array: Column, keys: Mapping[str, str]) -> Column:
     skipped without losing its neighbours; text that is not an array sums to 0.
     """
     elements = F.from_json(json_array, "array<string>")
-    objects = F.transform(elements, lambda e: F.from_json(e, "map<string,string>"))
+    objects = F.transform(elements, lambda e: F.transform_values(
+        F.from_json(e, "map<string,string>"), lambda _, v: to_int_or_zero(flag_to_number(v))))
     zero = F.struct(*[F.lit(0).cast("bigint").alias(name) for name in keys])
 
     def add(acc: Column, obj: Column) -> Column:
         return F.struct(*[
-            (acc[name] + to_int_or_zero(flag_to_number(F.try_element_at(obj, F.lit(key)))))
-            .alias(name) for name, key in keys.items()])
+            (acc[name] + F.coalesce(F.try_element_at(obj, F.lit(key)), F.lit(0))).alias(name)
+            for name, key in keys.items()])
 
     return F.coalesce(F.aggregate(objects, zero, add), zero)

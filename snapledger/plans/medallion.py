@@ -36,7 +36,7 @@ from ..schemas import (
 )
 from ..sources.envelope import read_envelope
 from ..sources.landing import latest_file
-from ..sources.tables import AppendTable, VersionedTable
+from ..sources.tables import AppendTable, VersionedTable, overwrite_days
 from .bikeshare import (
     STATUS_COLUMNS,
     bronze_columns,
@@ -198,8 +198,7 @@ def run_gold(wh: Warehouse, at: datetime, settings: Settings = Settings(),
 
     # Only the days read are rewritten; partials of other days stay as they are.  This comes
     # before the current state moves the starting point of the next cycle.
-    (daily_partials(recent).write.mode("overwrite").partitionBy("day")
-     .option("partitionOverwriteMode", "dynamic").parquet(wh.partials_path))
+    overwrite_days(daily_partials(recent), wh.partials_path)
 
     candidates = recent
     if incremental:

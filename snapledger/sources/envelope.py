@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,52 +27,49 @@ def _document_type(array_path: str) -> T.StructType:
     return kind
 
 
-def _explode(documents: DataFrame, array: Column, origin: Sequence[str]) -> DataFrame:
-    """A document without the array is an error, not an empty snapshot."""
-    elements = F.coalesce(array, F.raise_error(F.lit("envelope without element array")).cast(
-        T.ArrayType(ENTITY)))
-    return documents.select(*origin, F.posexplode(elements).alias("pos", "entity"))
-
-
 def read_envelope(spark: SparkSession, paths: str | Sequence[str],
                   array_path: str = "data.stations", glob: str = "*.json") -> DataFrame:
     """``file, file_time, pos, entity`` for every element of every document under ``paths``.
 
-    Parallelism is one task per document, because a multi-line document cannot be split.
-    A damaged document fails the read.
+    One document is one record and one task's work at a time: parallelism comes from the
+    number of documents.  A damaged document fails the read.
     """
-    documents = (spark.read.schema(_document_type(array_path))
-                 .option("multiLine", True).option("mode", "FAILFAST")
-                 .option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-                 .json(paths))
-    return _with_origin(documents, array_path)
+    return explode_payload(_documents(spark.read, paths, glob), "payload", array_path)
 
 
 def stream_envelope(spark: SparkSession, path: str, array_path: str = "data.stations",
                     glob: str = "*.json", max_files: int | None = None) -> DataFrame:
     """Streaming counterpart of :func:`read_envelope`: every landed document is read once."""
-    reader = (spark.readStream.schema(_document_type(array_path))
-              .option("multiLine", True).option("mode", "FAILFAST")
-              .option("recursiveFileLookup", True).option("pathGlobFilter", glob))
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _with_origin(reader.json(path), array_path)
+    return explode_payload(_documents(reader, path, glob), "payload", array_path)
+
 
+def _documents(reader, paths: str | Sequence[str], glob: str) -> DataFrame:
+    """Whole documents as text, with file name and time.
 
-def _with_origin(documents: DataFrame, array_path: str) -> DataFrame:
-    located = documents.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_modification_time").alias("file_time"),
-        F.col(array_path).alias("elements"))
-    return _explode(located, F.col("elements"), ["file", "file_time"])
+    The JSON source in multi-line mode would do the same, but for every number it is asked to
+    return as text it reads that number's bytes from the file again.
+    """
+    files = (reader.format("text").option("wholetext", True)
+             .option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(paths))
+    return files.select(F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_modification_time").alias("file_time"),
+                        F.col("value").alias("payload"))
 
 
 def explode_payload(df: DataFrame, payload: str, array_path: str = "data.stations") -> DataFrame:
-    """The same scan over documents held in a text column; the other columns are kept."""
+    """Elements of the documents held in a text column; the other columns are kept.
+
+    A document without the array is an error, not an empty snapshot.
+    """
     origin = [c for c in df.columns if c != payload]
     parsed = df.select(*origin, F.from_json(payload, _document_type(array_path),
                                             {"mode": "FAILFAST"}).alias("document"))
-    return _explode(parsed, F.col(f"document.{array_path}"), origin)
+    missing = F.raise_error(F.lit(f"document without {array_path}")).cast(T.ArrayType(ENTITY))
+    elements = F.coalesce(F.col(f"document.{array_path}"), missing)
+    return parsed.select(*origin, F.posexplode(elements).alias("pos", "entity"))
 
 
 def present_columns(df: DataFrame, expected: Sequence[str], entity: str = "entity") -> list[str]:

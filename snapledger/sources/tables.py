@@ -97,5 +97,14 @@ class AppendTable:
         return tuple(df.agg(F.to_date(F.min(self.ts)), F.to_date(F.max(self.ts))).first())
 
     def append(self, df: DataFrame) -> None:
-        (conform(df, self.schema).withColumn(self.DATE, F.to_date(self.ts))
-         .write.mode("append").partitionBy(self.DATE).parquet(self.path))
+        """One shuffle on the day lets AQE cut the output into files of the advisory size:
+        no file per task and day, and no single task for a large day."""
+        dated = conform(df, self.schema).withColumn(self.DATE, F.to_date(self.ts))
+        (dated.hint("rebalance", self.DATE).write.mode("append")
+         .partitionBy(self.DATE).parquet(self.path))
+
+
+def overwrite_days(df: DataFrame, path: str, day: str = "day") -> None:
+    """Replace the days that occur in ``df``; other days of the table stay as they are."""
+    (df.hint("rebalance", day).write.mode("overwrite").partitionBy(day)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))

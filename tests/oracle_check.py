@@ -64,7 +64,8 @@ def main() -> int:
     args = sys.argv[1:]
     folder = args[0] if args else "/root/testdata/sf0.01"
     spark = build_session("oracle-check", "local[8]", {
-        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, bad = connect(folder), 0
