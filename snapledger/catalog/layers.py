@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.bikeshare import (
+    INFORMATION_COLUMNS,
     STATUS_COLUMNS,
     bronze_columns,
     build_readings,
@@ -15,7 +16,6 @@ from ..plans.bikeshare import (
     file_instant,
 )
 from ..plans.medallion import Settings, Warehouse, run_batch
-from ..schemas import INFORMATION_FIELDS
 from ..session import scratch_dir
 from ..sources import explode_payload
 from .cleaning import RAW_TYPES
@@ -62,7 +62,7 @@ def part_information(tables: Tables) -> DataFrame:
                AS capacite, NULL::VARCHAR AS horaires_ouverture
     FROM part WHERE p_brand <> 'Brand#9' AND p_type <> 'PROMO'""")
 def station_build(tables: Tables) -> DataFrame:
-    return build_station(bronze_columns(part_information(tables), list(INFORMATION_FIELDS)))
+    return build_station(bronze_columns(part_information(tables), INFORMATION_COLUMNS))
 
 
 CADENCE_MINUTES = 5

@@ -43,6 +43,7 @@ from ..schemas import (
 )
 from ..sources.envelope import entity_columns, present_columns, project_required
 
+INFORMATION_COLUMNS = list(INFORMATION_FIELDS)
 STATUS_COLUMNS = [*STATUS_FIELDS, BIKE_TYPES_FIELD]
 ORIGIN = ["file", "file_time", "pos"]
 

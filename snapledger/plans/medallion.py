@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -26,7 +25,6 @@ from ..schemas import (
     CURRENT_CONTRACT,
     HOURLY,
     HOURLY_CONTRACT,
-    INFORMATION_FIELDS,
     PARTIALS,
     READING,
     READING_CONTRACT,
@@ -36,10 +34,11 @@ from ..schemas import (
 )
 from ..sources.envelope import read_envelope
 from ..sources.landing import latest_file
+from ..sources.staging import stage_columns, staging
 from ..sources.tables import AppendTable, VersionedTable, overwrite_days
 from .bikeshare import (
+    INFORMATION_COLUMNS,
     STATUS_COLUMNS,
-    bronze_columns,
     build_current,
     build_hourly,
     build_readings,
@@ -129,18 +128,6 @@ def _logged(wh: Warehouse, dag: str, at: datetime, step: Callable[[], tuple]) ->
     return result
 
 
-@contextmanager
-def _kept(*frames: DataFrame) -> Iterator[None]:
-    """Keep frames that several checks read; lost blocks are recomputed from the files."""
-    for df in frames:
-        df.persist()
-    try:
-        yield
-    finally:
-        for df in frames:
-            df.unpersist()
-
-
 def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: datetime,
                settings: Settings = Settings(),
                instant: datetime | Column | None = None) -> tuple[int, date | None]:
@@ -150,21 +137,20 @@ def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: dat
     either way.  Returns the number of new readings and the first day of the batch.
     """
     spark, log = wh.spark, wh.log
-    with _kept(status, information):
-        bronze = bronze_columns(status, STATUS_COLUMNS)
+    with staging(spark) as stage:
+        bronze = stage_columns(stage, status, STATUS_COLUMNS)
         validate(spark, bronze, bronze_suite(settings.rows), "bronze_suite", SILVER_DAG, at, log,
                  snapshot="file")
-        station = build_station(bronze_columns(information, list(INFORMATION_FIELDS)))
-        reading = build_readings(bronze, file_instant() if instant is None else instant)
-        with _kept(station, reading):
-            validate(spark, station, station_suite(settings.rows, settings.variant),
-                     "silver_station_suite", SILVER_DAG, at, log)
-            validate(spark, reading, reading_suite(settings.rows), "silver_releve_suite",
-                     SILVER_DAG, at, log, snapshot="date_collecte",
-                     extra={"read_as_zero": unreadable_counts(bronze).first().asDict()})
-            verify(station, STATION_CONTRACT)
-            verify(reading, READING_CONTRACT, {"station": station})
-            return merge_silver(wh, station, reading, at, settings)
+        station = stage(build_station(stage_columns(stage, information, INFORMATION_COLUMNS)))
+        reading = stage(build_readings(bronze, file_instant() if instant is None else instant))
+        validate(spark, station, station_suite(settings.rows, settings.variant),
+                 "silver_station_suite", SILVER_DAG, at, log)
+        validate(spark, reading, reading_suite(settings.rows), "silver_releve_suite",
+                 SILVER_DAG, at, log, snapshot="date_collecte",
+                 extra={"read_as_zero": unreadable_counts(bronze).first().asDict()})
+        verify(station, STATION_CONTRACT)
+        verify(reading, READING_CONTRACT, {"station": station})
+        return merge_silver(wh, station, reading, at, settings)
 
 
 def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame, at: datetime,
@@ -173,11 +159,7 @@ def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame, at: date
     wh.station.replace(upsert(wh.station.read(), station, ["id_station"]))
     # Only the days of the batch can hold the same key.
     first, last = wh.reading.days_of(reading)
-    new = insert_new(wh.reading.read(first, last), reading, READING_KEY)
-    with _kept(new):
-        count = new.count()
-        if count:
-            wh.reading.append(new)
+    count = wh.reading.append(insert_new(wh.reading.read(first, last), reading, READING_KEY))
     source = reading.withColumn("source", F.lit("station_status"))
     wh.log.freshness(freshness(source, "source", "date_collecte", at, settings.fresh_minutes))
     return count, first

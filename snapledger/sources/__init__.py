@@ -10,10 +10,12 @@ from .envelope import (
 )
 from .landing import land, latest_file, landed_files
 from .profile import element_profile, feed_profile, json_key_profile
+from .staging import stage_columns, staging
 from .tables import AppendTable, VersionedTable, overwrite_days
 
 __all__ = [
     "AppendTable", "VersionedTable", "element_profile", "entity_columns", "explode_payload",
     "feed_profile", "json_key_profile", "land", "landed_files", "latest_file",
-    "overwrite_days", "present_columns", "project_required", "read_envelope", "stream_envelope",
+    "overwrite_days", "present_columns", "project_required", "read_envelope", "stage_columns",
+    "staging", "stream_envelope",
 ]

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,12 +96,18 @@ class AppendTable:
         """First and last day of a batch: two values, whatever its size."""
         return tuple(df.agg(F.to_date(F.min(self.ts)), F.to_date(F.max(self.ts))).first())
 
-    def append(self, df: DataFrame) -> None:
-        """One shuffle on the day lets AQE cut the output into files of the advisory size:
-        no file per task and day, and no single task for a large day."""
+    def append(self, df: DataFrame) -> int:
+        """Returns the number of rows, observed while they are written.
+
+        One shuffle on the day lets AQE cut the output into files of the advisory size: no
+        file per task and day, and no single task for a large day.
+        """
         dated = conform(df, self.schema).withColumn(self.DATE, F.to_date(self.ts))
-        (dated.hint("rebalance", self.DATE).write.mode("append")
-         .partitionBy(self.DATE).parquet(self.path))
+        written = Observation()
+        (dated.hint("rebalance", self.DATE)
+         .observe(written, F.count(F.lit(1)).alias("rows"))
+         .write.mode("append").partitionBy(self.DATE).parquet(self.path))
+        return written.get["rows"]
 
 
 def overwrite_days(df: DataFrame, path: str, day: str = "day") -> None:
