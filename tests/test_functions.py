@@ -1,0 +1,109 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapledger import functions as fn
+
+NUMBERS = [
+    ("abc", None, 0), ("", None, 0), (None, None, 0), ("0x1F", None, 0), ("1_000", None, 0),
+    ("NaN", None, 0), (" 12 ", 12.0, 12), ("1e3", 1000.0, 1000), ("3.7", 3.7, 3),
+    ("-3.7", -3.7, -3), ("12d", None, 0), ("inf", None, 0), ("-Infinity", None, 0),
+    ("1e400", None, 0), (".5", 0.5, 0), ("5.", 5.0, 5), ("+7", 7.0, 7), ("7\t", 7.0, 7),
+    ("3000000000", 3e9, 0), ("true", None, 0),
+]
+
+
+def test_number_coercion(spark):
+    df = spark.createDataFrame([(t,) for t, _, _ in NUMBERS], "t string")
+    got = df.select(fn.to_number_or_null(F.col("t")), fn.to_int_or_zero(F.col("t"))).collect()
+    assert [tuple(r) for r in got] == [(d, i) for _, d, i in NUMBERS]
+
+
+def test_large_ids_keep_every_digit(spark):
+    df = spark.createDataFrame([("9007199254740993",), (" 101.0 ",), ("x",),
+                                ("99999999999999999999",)], "t string")
+    got = [r[0] for r in df.select(fn.to_long_or_null(F.col("t"))).collect()]
+    assert got == [9007199254740993, 101, None, None]
+
+
+def test_flags(spark):
+    df = spark.createDataFrame([("true",), ("false",), ("1",), (None,)], "t string")
+    got = df.select(fn.to_int_or_zero(fn.flag_to_number(F.col("t")))).collect()
+    assert [r[0] for r in got] == [1, 0, 1, 0]
+
+
+@pytest.mark.parametrize("text, expected", [
+    ('[{"mechanical":3},{"ebike":2}]', (3, 2)),
+    ('[{"mechanical":3},{"mechanical":1}]', (4, 0)),
+    ('[{"mechanical":null},{"cargo":9}]', (0, 0)),
+    ("[]", (0, 0)), (None, (0, 0)), ('"oops"', (0, 0)), ("oops", (0, 0)),
+    ('{"mechanical":3}', (0, 0)), ('[5,{"ebike":2}]', (0, 2)),
+    ('[null,{"ebike":true},[1]]', (0, 1)), ('[{"mechanical":"2"},{"ebike":3.9}]', (2, 3)),
+])
+def test_pivot_sum(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    keys = {"m": "mechanical", "e": "ebike"}
+    assert tuple(df.select(fn.pivot_sum(F.col("t"), keys).alias("s")).first().s) == expected
+
+
+def test_epoch(spark):
+    texts = ["1700000000", "1700000000.5", "x", None, "1e20", "9223372037", "-9223372037"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(fn.epoch_to_timestamp(fn.to_number_or_null(F.col("t")))
+                                   .cast("string")).collect()]
+    assert got == ["2023-11-14 22:13:20", "2023-11-14 22:13:20.5"] + [None] * 5
+
+
+def test_ratios(spark):
+    cases = [(1, 16, "0.063", "0.063"), (5, 3, "1.667", "1.000"), (0, 20, "0.000", "0.000"),
+             (4, 0, "0.000", "0.000"), (4, None, "0.000", "0.000"), (None, 5, None, None)]
+    df = spark.createDataFrame([(v, c) for v, c, _, _ in cases], "v int, c int")
+    got = df.select(fn.guarded_ratio(F.col("v"), F.col("c")),
+                    fn.capped_ratio(F.col("v"), F.col("c"))).collect()
+    assert [tuple(r) for r in got] == [
+        tuple(x and Decimal(x) for x in case[2:]) for case in cases]
+
+
+def test_mean_ratio_is_exact_at_a_tie(spark):
+    """Three readings of 1 and thirteen of 0 against 3 are 1/16, which rounds up."""
+    df = spark.createDataFrame([(1,)] * 3 + [(0,)] * 13, "v int")
+    exact = fn.mean_ratio_half_up(F.sum("v"), F.count("v"), F.lit(3))
+    naive = F.round(F.avg(F.col("v").cast("decimal(10,0)") / F.lit(3)), 3)
+    assert [str(v) for v in df.agg(exact, naive).first()] == ["0.063", "0.062"]
+
+
+def test_mean_of_nothing_is_null(spark):
+    assert spark.range(0).agg(fn.mean_half_up(F.sum("id"), F.count("id"))).first()[0] is None
+
+
+def test_blank(spark):
+    texts = ["", "  ", "\t\n", " ", " \x1c", " a ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(fn.is_blank(F.col("t"))).collect()]
+    assert got == [t is not None and t.strip() == "" for t in texts]
+
+
+def test_missing_text_stays_missing(spark):
+    df = spark.createDataFrame([(None,), (5,)], "v int")
+    assert [r[0] for r in df.select(fn.to_text(F.col("v"))).collect()] == [None, "5"]
+
+
+def test_stamps(spark):
+    row = spark.range(1).select(
+        fn.instant_from_name(F.lit("b/f/f_20260101_080000.json")).cast("string"),
+        fn.instant_from_name(F.lit("b/f/f.json")),
+        fn.stamp(F.lit("2026-01-01 08:00:00").cast("timestamp")),
+        fn.batch_instant(F.lit("2026-01-01 08:00:00.9").cast("timestamp")).cast("string")).first()
+    assert tuple(row) == ("2026-01-01 08:00:00", None, "20260101_080000", "2026-01-01 08:00:00")
+
+
+def test_hour_of_day_in_a_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP '2026-07-01 23:30:00' AS t")
+    assert tuple(df.select(fn.hour_of_day(F.col("t")),
+                           fn.hour_of_day(F.col("t"), "Europe/Paris")).first()) == (23, 1)
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "d double, i int")
+    assert [tuple(r) for r in fn.nan_to_null(df).collect()] == [(None, 1), (2.0, 2)]
