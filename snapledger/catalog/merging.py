@@ -71,7 +71,7 @@ def insert_ignore(tables: Tables) -> DataFrame:
                  .withColumn("delivery", F.lit(1)))
     batch = events.filter(F.col("ts") >= bound(date(2024, 1, 10))).withColumn(
         "delivery", F.lit(2))
-    table.append(insert_new(table.read(*table.days_of(batch)), batch, ["user_id", "ts"]))
+    table.append(insert_new(table.read_span(table.span_of(batch)), batch, ["user_id", "ts"]))
     return table.read()
 
 

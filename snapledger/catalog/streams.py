@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators import dedup_stream, hourly_partials, insert_new, partials_to_profile
 from ..session import scratch_dir
-from ..sources import AppendTable
+from ..sources import AppendTable, staging
 from .merging import DELIVERED
 from .products import HOURLY_SQL, USAGE, props_k, usage_dimension
 from .registry import Tables, query
@@ -52,14 +52,12 @@ def stream_insert_ignore(tables: Tables) -> DataFrame:
     stream = dedup_stream(once.unionByName(once), ["user_id", "at"], "at", "10 minutes")
 
     def consume(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("user_id", F.col("at").cast(T.TimestampNTZType()).alias("ts"),
-                            "event_id", F.lit(1).alias("delivery")).persist()
-        try:
-            first, last = table.days_of(rows)
-            if first is not None:
-                table.append(insert_new(table.read(first, last), rows, ["user_id", "ts"]))
-        finally:
-            rows.unpersist()
+        with staging(spark) as stage:
+            rows = stage(batch.select(
+                "user_id", F.col("at").cast(T.TimestampNTZType()).alias("ts"), "event_id",
+                F.lit(1).alias("delivery")))
+            stored = table.read_span(table.span_of(rows))
+            table.append(insert_new(stored, rows, ["user_id", "ts"]))
 
     _drain(stream, consume, scratch_dir(spark, "checkpoint"))
     return table.read()

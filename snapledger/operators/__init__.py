@@ -10,6 +10,7 @@ from .profiles import (
     hourly_profile,
     network_kpis,
     partials_to_profile,
+    roll_up,
 )
 from .sizing import broadcast_if_small, estimated_bytes
 
@@ -17,5 +18,6 @@ __all__ = [
     "broadcast_if_small", "conform", "current_state", "dedup_first", "dedup_stream",
     "drop_incomplete", "duplicated_keys", "estimated_bytes", "hourly_partials",
     "hourly_profile", "insert_new", "latest", "latest_one", "network_kpis", "orphan_keys",
-    "orphan_sample", "partials_to_profile", "require_unique", "surrogate_key", "upsert",
+    "orphan_sample", "partials_to_profile", "require_unique", "roll_up",
+    "surrogate_key", "upsert",
 ]

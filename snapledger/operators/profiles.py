@@ -57,27 +57,36 @@ def hourly_partials(readings: DataFrame, roles: Roles, bucket: Column | None = N
         F.count(F.lit(1)).alias("observations"))
 
 
+SUMS = ["total", "values", "times_empty", "observations"]
+
+
+def roll_up(partials: DataFrame, key: str) -> DataFrame:
+    """Add up partials per key and bucket."""
+    return partials.groupBy(key, "bucket").agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
 def partials_to_profile(partials: DataFrame, dimension: DataFrame, roles: Roles) -> DataFrame:
-    """Roll partials up to ``key, label, bucket, mean_available, mean_ratio, times_empty,
-    observations``.  The dimension is joined to the rolled-up rows, not to the history."""
-    sums = ["total", "values", "times_empty", "observations"]
-    rolled = partials
-    if "day" in partials.columns:
-        rolled = partials.groupBy(roles.key, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
-    known = dimension.select(roles.key, roles.capacity, *([roles.label] if roles.label else []))
-    capacity = F.col(roles.capacity)
-    # Without a positive capacity the ratio is 0 for every row, whatever its value.
-    return rolled.join(known, roles.key).select(
-        roles.key, *([roles.label] if roles.label else []), "bucket",
-        mean_half_up(F.col("total"), F.col("values"), 2).alias("mean_available"),
-        mean_ratio_half_up(F.col("total"), F.col("values"), capacity, 3).alias("mean_ratio"),
-        "times_empty", "observations")
+    """Partials of any number of days to ``key, label, bucket, mean_available, mean_ratio,
+    times_empty, observations``."""
+    return _profile(roll_up(partials, roles.key), dimension, roles)
 
 
 def hourly_profile(readings: DataFrame, dimension: DataFrame, roles: Roles,
                    bucket: Column | None = None) -> DataFrame:
     """The profile over all readings at once."""
-    return partials_to_profile(hourly_partials(readings, roles, bucket), dimension, roles)
+    return _profile(hourly_partials(readings, roles, bucket), dimension, roles)
+
+
+def _profile(rolled: DataFrame, dimension: DataFrame, roles: Roles) -> DataFrame:
+    """The dimension is joined to the rolled-up rows, not to the history."""
+    label = [roles.label] if roles.label else []
+    total, count, capacity = F.col("total"), F.col("values"), F.col(roles.capacity)
+    joined = rolled.join(dimension.select(roles.key, roles.capacity, *label), roles.key)
+    return joined.select(
+        roles.key, *label, "bucket",
+        mean_half_up(total, count, 2).alias("mean_available"),
+        mean_ratio_half_up(total, count, capacity, 3).alias("mean_ratio"),
+        "times_empty", "observations")
 
 
 def network_kpis(state: DataFrame, available: str, free: str, ts: str, ratio: str = "ratio",

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import insert_new, upsert
+from ..operators.profiles import roll_up
 from ..quality.contract import verify
 from ..quality.engine import validate
 from ..quality.rules import ROW_COUNT
@@ -29,13 +30,14 @@ from ..schemas import (
     READING,
     READING_CONTRACT,
     READING_KEY,
+    SETTLED,
     STATION,
     STATION_CONTRACT,
 )
 from ..sources.envelope import read_envelope
 from ..sources.landing import latest_file
 from ..sources.staging import stage_columns, staging
-from ..sources.tables import AppendTable, VersionedTable, overwrite_days
+from ..sources.tables import AppendTable, VersionedTable, first_day, overwrite_days
 from .bikeshare import (
     INFORMATION_COLUMNS,
     STATUS_COLUMNS,
@@ -61,12 +63,14 @@ class Settings:
     """``rows`` bounds one snapshot; ``variant`` is ``runtime`` or ``full``.
 
     ``incremental`` derives gold from the batch and the previous gold instead of re-reading
-    the whole history; both give the same tables.
+    the whole history; both give the same tables.  Hourly sums of days more than
+    ``settle_days`` before the newest reading are not added up again in every cycle.
     """
 
     rows: tuple[int, int] = SNAPSHOT_ROWS
     variant: str = "runtime"
     incremental: bool = True
+    settle_days: int = 7
     fresh_minutes: float = 15
 
 
@@ -80,6 +84,7 @@ class Warehouse:
         self.reading = AppendTable(
             spark, f"{root}/silver/releve_disponibilite", READING, "date_collecte")
         self.partials_path = f"{root}/silver/partials_horaires"
+        self.settled = VersionedTable(spark, f"{root}/silver/cumuls_horaires", SETTLED)
         self.current = VersionedTable(spark, f"{root}/gold/disponibilite_courante", CURRENT)
         self.hourly = VersionedTable(spark, f"{root}/gold/tendance_horaire", HOURLY)
         self.log = MonitoringLog(spark, f"{root}/monitoring")
@@ -157,12 +162,11 @@ def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame, at: date
                  settings: Settings) -> tuple[int, date | None]:
     """Upsert the dimension, then append the readings not yet stored."""
     wh.station.replace(upsert(wh.station.read(), station, ["id_station"]))
-    # Only the days of the batch can hold the same key.
-    first, last = wh.reading.days_of(reading)
-    count = wh.reading.append(insert_new(wh.reading.read(first, last), reading, READING_KEY))
+    span = wh.reading.span_of(reading)
+    count = wh.reading.append(insert_new(wh.reading.read_span(span), reading, READING_KEY))
     source = reading.withColumn("source", F.lit("station_status"))
     wh.log.freshness(freshness(source, "source", "date_collecte", at, settings.fresh_minutes))
-    return count, first
+    return count, span and first_day(span)
 
 
 def run_gold(wh: Warehouse, at: datetime, settings: Settings = Settings(),
@@ -176,7 +180,8 @@ def run_gold(wh: Warehouse, at: datetime, settings: Settings = Settings(),
     stations, published = wh.station.read(), wh.current.read()
     newest = published.agg(F.to_date(F.max("derniere_collecte"))).first()[0]
     incremental = settings.incremental and since is not None and newest is not None
-    recent = wh.reading.read(min(since, newest)) if incremental else wh.reading.read()
+    recent_from = min(since, newest) if incremental else None
+    recent = wh.reading.read(recent_from)
 
     # Only the days read are rewritten; partials of other days stay as they are.  This comes
     # before the current state moves the starting point of the next cycle.
@@ -192,10 +197,39 @@ def run_gold(wh: Warehouse, at: datetime, settings: Settings = Settings(),
     current = wh.current.read()
     verify(current, CURRENT_CONTRACT)
 
-    wh.hourly.replace(build_hourly(wh.partials(), stations), sort=["id_station", "heure"])
+    sums = hourly_sums(wh, recent_from, settings.settle_days)
+    wh.hourly.replace(build_hourly(sums, stations), sort=["id_station", "heure"])
     verify(wh.hourly.read(), HOURLY_CONTRACT)
     wh.define_views()
 
     results = validate(wh.spark, current, gold_suite(settings.rows, settings.variant),
                        "gold_suite", GOLD_DAG, at, wh.log, stop_on_critical=False)
     return (next(r.checked for r in results if r.rule_name == ROW_COUNT),)
+
+
+def hourly_sums(wh: Warehouse, changed_from: date | None, settle_days: int) -> DataFrame:
+    """Partials of the whole history, days long past already added up.
+
+    The settled sums and the day they reach are one table version, so they cannot disagree.
+    They advance as days pass; a change to a settled day (``None``: any day) rebuilds them.
+    """
+    partials, settled = wh.partials(), wh.settled.read()
+    through = settled.agg(F.max("through")).first()[0]
+    newest = wh.current.read().agg(F.to_date(F.max("derniere_collecte"))).first()[0]
+    if newest is None:
+        return partials.drop("day")
+    cutoff = newest - timedelta(days=settle_days)
+
+    if through is None or changed_from is None or changed_from < through:
+        added = partials.filter(F.col("day") < F.lit(cutoff)).drop("day")
+        through = None
+    elif through < cutoff:
+        added = settled.drop("through").unionByName(partials.filter(
+            F.col("day").between(F.lit(through), F.lit(cutoff - timedelta(days=1)))).drop("day"))
+    else:
+        added = None
+    if added is not None:
+        wh.settled.replace(roll_up(added, "id_station").withColumn("through", F.lit(cutoff)))
+        settled, through = wh.settled.read(), cutoff
+    open_days = partials.filter(F.col("day") >= F.lit(through))
+    return settled.drop("through").unionByName(open_days.drop("day"))

@@ -120,6 +120,10 @@ PARTIALS = _struct(
     ("id_station", _LONG), ("bucket", _SHORT), ("total", _LONG), ("values", _LONG),
     ("times_empty", _LONG), ("observations", _LONG), ("day", _DATE))
 
+# Their sums over all days before ``through``, so that a cycle need not add up the whole past.
+SETTLED = _struct(*[(f.name, f.dataType) for f in PARTIALS.fields if f.name != "day"],
+                  ("through", _DATE))
+
 # --- monitoring ---------------------------------------------------------------------------
 
 RUNS = _struct(

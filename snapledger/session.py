@@ -22,13 +22,24 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+#: Added unless the session is local: start with many shuffle partitions and let AQE merge
+#: them to the advisory size; larger scan splits keep the number of tasks at 100 TB in bounds.
+CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
 
 def build_session(app: str = "snapledger", master: str | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
+    """A session with the defaults above; ``extra`` overrides them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(extra or {})}.items():
+    scale = {} if (master or "").startswith("local") else CLUSTER
+    for key, value in {**DEFAULTS, **scale, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -92,9 +92,20 @@ class AppendTable:
             df = df.filter(F.col(self.DATE) <= F.lit(until))
         return df.drop(self.DATE)
 
-    def days_of(self, df: DataFrame) -> tuple[date | None, date | None]:
-        """First and last day of a batch: two values, whatever its size."""
-        return tuple(df.agg(F.to_date(F.min(self.ts)), F.to_date(F.max(self.ts))).first())
+    def span_of(self, df: DataFrame) -> tuple[str, str] | None:
+        """First and last instant of a batch, as text in the session zone: two values, whatever
+        the batch's size; None for an empty one."""
+        first, last = df.agg(F.min(self.ts).cast("string"), F.max(self.ts).cast("string")).first()
+        return None if first is None else (first, last)
+
+    def read_span(self, span: tuple[str, str] | None) -> DataFrame:
+        """The rows a batch with that span can collide with.  Days are pruned, and within them
+        the instants are filtered in the scan."""
+        if span is None:
+            return self.read().limit(0)
+        first, last = (F.lit(t).cast(self.schema[self.ts].dataType) for t in span)
+        days = self.read(first_day(span), date.fromisoformat(span[1][:10]))
+        return days.filter(F.col(self.ts).between(first, last))
 
     def append(self, df: DataFrame) -> int:
         """Returns the number of rows, observed while they are written.
@@ -110,6 +121,10 @@ class AppendTable:
         return written.get["rows"]
 
 
+def first_day(span: tuple[str, str]) -> date:
+    return date.fromisoformat(span[0][:10])
+
+
 def overwrite_days(df: DataFrame, path: str, day: str = "day") -> None:
     """Replace the days that occur in ``df``; other days of the table stay as they are."""
     (df.hint("rebalance", day).write.mode("overwrite").partitionBy(day)

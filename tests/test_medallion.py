@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -239,13 +239,30 @@ def batch(wh, folder, i, settings):
 
 
 def test_incremental_gold_equals_full_gold(spark, tmp_path):
+    """With sums that settle after a day and late data for a settled day."""
     order = snapshots(tmp_path)
     inc, full = (Warehouse(spark, str(tmp_path / n)) for n in ("inc", "full"))
     for i in order:
-        batch(inc, tmp_path, i, Settings(rows=BOUNDS, incremental=True))
+        batch(inc, tmp_path, i, Settings(rows=BOUNDS, incremental=True, settle_days=1))
         batch(full, tmp_path, i, Settings(rows=BOUNDS, incremental=False))
-    assert contents(inc) == contents(full)
+        assert contents(inc) == contents(full)
     assert inc.current.read().count() == 5  # vanished stations stay
+    assert rows(inc.settled.read().select("through").distinct()) == [(date(2026, 1, 2),)]
+
+
+def test_settled_sums_advance_with_the_days(spark, tmp_path):
+    wh, plain = (Warehouse(spark, str(tmp_path / n)) for n in ("settled", "plain"))
+    for day in range(1, 6):
+        write(tmp_path, f"information{day}", f"2026010{day}_080000",
+              [station(k, "c", f"n{k}", 48.5, 2.5, 10) for k in range(3)])
+        write(tmp_path, f"status{day}", f"2026010{day}_080000",
+              [status(k, "c", day + k, 1, [], 0) for k in range(3)])
+        batch(wh, tmp_path, day, Settings(rows=BOUNDS, settle_days=2))
+        batch(plain, tmp_path, day, Settings(rows=BOUNDS, incremental=False))
+    assert contents(wh) == contents(plain)
+    # Days 1 and 2 lie before the newest day less two; the others are added up on demand.
+    assert rows(wh.settled.read(), "id_station", "total", "observations") == [
+        (0, 3, 2), (1, 5, 2), (2, 7, 2)]
 
 
 def test_next_cycle_makes_up_for_a_failed_gold_step(spark, tmp_path, monkeypatch):

@@ -270,9 +270,16 @@ def test_append_table_prunes_days(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2026, 1, d, 12), d) for d in range(1, 9)], LOG)
     assert table.append(df) == 8
     assert table.append(df.limit(0)) == 0
-    assert table.days_of(df) == (date(2026, 1, 1), date(2026, 1, 8))
+    assert table.span_of(df.limit(0)) is None and table.read_span(None).count() == 0
+    span = table.span_of(df.filter("v IN (2, 4)"))
+    assert span == ("2026-01-02 12:00:00", "2026-01-04 12:00:00")
+    assert rows(table.read_span(span), "v") == [(2,), (3,), (4,)]
+    assert "GreaterThanOrEqual(t," in plan(table.read_span(span))
     recent = table.read(date(2026, 1, 3), date(2026, 1, 4))
     assert rows(recent, "v") == [(3,), (4,)]
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan(recent)
     assert len(recent.inputFiles()) == 8  # one file per day, whatever the number of tasks
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
