@@ -13,6 +13,7 @@ from ..operators.merge import insert_new, upsert
 from ..operators.profiles import roll_up
 from ..quality.contract import verify
 from ..quality.engine import validate
+from ..quality.quarantine import mark, rejected, valid
 from ..quality.rules import ROW_COUNT
 from ..quality.suites import (
     SNAPSHOT_ROWS,
@@ -30,13 +31,15 @@ from ..schemas import (
     READING,
     READING_CONTRACT,
     READING_KEY,
+    REJECTED_READING,
     SETTLED,
     STATION,
     STATION_CONTRACT,
+    SUSPECT_STATION,
 )
 from ..sources.envelope import read_envelope
 from ..sources.landing import latest_file
-from ..sources.staging import stage_columns, staging
+from ..sources.staging import Stage, stage_columns, staging
 from ..sources.tables import AppendTable, VersionedTable, first_day, overwrite_days
 from .bikeshare import (
     INFORMATION_COLUMNS,
@@ -65,12 +68,16 @@ class Settings:
     ``incremental`` derives gold from the batch and the previous gold instead of re-reading
     the whole history; both give the same tables.  Hourly sums of days more than
     ``settle_days`` before the newest reading are not added up again in every cycle.
+
+    With ``quarantine`` readings that break a row rule are set aside instead of merged, and
+    stations that do are listed as suspect; without it such rows only raise alerts.
     """
 
     rows: tuple[int, int] = SNAPSHOT_ROWS
     variant: str = "runtime"
     incremental: bool = True
     settle_days: int = 7
+    quarantine: bool = False
     fresh_minutes: float = 15
 
 
@@ -83,6 +90,9 @@ class Warehouse:
         self.station = VersionedTable(spark, f"{root}/silver/station", STATION)
         self.reading = AppendTable(
             spark, f"{root}/silver/releve_disponibilite", READING, "date_collecte")
+        self.rejected = AppendTable(
+            spark, f"{root}/silver/releve_rejete", REJECTED_READING, "date_collecte")
+        self.suspect = VersionedTable(spark, f"{root}/silver/station_suspecte", SUSPECT_STATION)
         self.partials_path = f"{root}/silver/partials_horaires"
         self.settled = VersionedTable(spark, f"{root}/silver/cumuls_horaires", SETTLED)
         self.current = VersionedTable(spark, f"{root}/gold/disponibilite_courante", CURRENT)
@@ -153,11 +163,25 @@ def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: dat
         validate(spark, reading, reading_suite(settings.rows), "silver_releve_suite",
                  SILVER_DAG, at, log, snapshot="date_collecte",
                  extra={"read_as_zero": unreadable_counts(bronze).first().asDict()})
+        if settings.quarantine:
+            reading = set_aside(wh, stage, station, reading, settings)
         verify(station, STATION_CONTRACT)
         verify(reading, READING_CONTRACT, {"station": station})
         return merge_silver(wh, station, reading, at, settings)
 
 
+def set_aside(wh: Warehouse, stage: Stage, station: DataFrame, reading: DataFrame,
+              settings: Settings) -> DataFrame:
+    """Store the offending rows and return the readings that break no rule."""
+    suspects = rejected(mark(station, station_suite(settings.rows, settings.variant)))
+    wh.suspect.replace(suspects)
+    marked = stage(mark(reading, reading_suite(settings.rows)))
+    bad = rejected(marked)
+    known = wh.rejected.read_span(wh.rejected.span_of(bad))
+    wh.rejected.append(insert_new(known, bad, READING_KEY))
+    return valid(marked)
+
+
 def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame, at: datetime,
                  settings: Settings) -> tuple[int, date | None]:
     """Upsert the dimension, then append the readings not yet stored."""

@@ -82,6 +82,11 @@ READING_CONTRACT = TableContract(
     unique=[READING_KEY],
     foreign_keys={"id_station": ("station", "id_station")})
 
+# Opt-in quarantine: what was kept out of, or is suspect in, the tables above.
+_VIOLATIONS = T.StructField("_violations", T.ArrayType(T.StringType()))
+REJECTED_READING = T.StructType([*READING.fields, _VIOLATIONS])
+SUSPECT_STATION = T.StructType([*STATION.fields, _VIOLATIONS])
+
 # --- gold -------------------------------------------------------------------------------
 
 CURRENT = _struct(

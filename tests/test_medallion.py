@@ -220,62 +220,82 @@ def test_gold_failures_alert_but_do_not_stop(spark, tmp_path):
         ("expect_table_row_count_to_be_between", "CRITICAL")]
 
 
-def snapshots(folder):
-    """Three days with a changing dimension, a vanishing station and a late snapshot."""
+def test_quarantine_sets_rows_aside(spark, tmp_path):
+    stations = [*STATIONS, station(104, "c", "Far", 0, 2.3, 5)]
+    readings = [*STATUS_1, status(104, "c", -1, 1, [], 0, is_installed=2)]
+    wh, run = single(spark, tmp_path, stations, readings, Settings(rows=BOUNDS, quarantine=True))
+    run()
+    run()  # a repeat sets nothing aside twice
+    assert rows(wh.reading.read(), "id_station") == [(101,), (102,), (103,)]
+    assert rows(wh.rejected.read(), "id_station", "_violations") == [(104, [
+        "expect_column_values_to_be_between(velos_disponibles)",
+        "expect_column_values_to_be_in_set(est_installee)"])]
+    assert rows(wh.suspect.read(), "id_station") == [(104,)]
+    assert wh.station.read().count() == 4  # suspect, but kept
+
+
+ARRIVAL = [0, 2, 1]  # the second snapshot arrives last
+
+
+@pytest.fixture(scope="module")
+def history(spark, tmp_path_factory):
+    """Three days with a changing dimension, vanishing stations and a late snapshot; and the
+    tables after each arrival, gold being rebuilt from all readings every time."""
+    folder = tmp_path_factory.mktemp("history")
     for i, (stamp, capacity) in enumerate([("20260101_235500", 10), ("20260102_000500", 12),
                                            ("20260103_080000", 20)]):
-        stations = [station(k, f"c{k}", f"n{k}", 48.5, 2.5, capacity + k) for k in range(5 - i)]
-        write(folder, f"information{i}", stamp, stations)
+        write(folder, f"information{i}", stamp,
+              [station(k, f"c{k}", f"n{k}", 48.5, 2.5, capacity + k) for k in range(5 - i)])
         write(folder, f"status{i}", stamp, [
             status(k, f"c{k}", (k * 7 + i * 3) % 11, k % 2, types(k, i), 1767254000 + i)
             for k in range(5 - i)])
-    return [0, 2, 1]  # the second snapshot arrives last
+    wh, after = Warehouse(spark, str(folder / "full")), []
+    for i in ARRIVAL:
+        batch(wh, folder, i, Settings(rows=BOUNDS, incremental=False))
+        after.append(contents(wh))
+    return folder, after
 
 
 def batch(wh, folder, i, settings):
-    information = read_envelope(wh.spark, f"{folder}/information{i}")
-    run_batch(wh, information, read_envelope(wh.spark, f"{folder}/status{i}"),
-              at(8, i, day=4), settings)
+    run_batch(wh, read_envelope(wh.spark, f"{folder}/information{i}"),
+              read_envelope(wh.spark, f"{folder}/status{i}"), at(8, i, day=4), settings)
 
 
-def test_incremental_gold_equals_full_gold(spark, tmp_path):
+def test_incremental_gold_equals_full_gold(spark, tmp_path, history):
     """With sums that settle after a day and late data for a settled day."""
-    order = snapshots(tmp_path)
-    inc, full = (Warehouse(spark, str(tmp_path / n)) for n in ("inc", "full"))
-    for i in order:
-        batch(inc, tmp_path, i, Settings(rows=BOUNDS, incremental=True, settle_days=1))
-        batch(full, tmp_path, i, Settings(rows=BOUNDS, incremental=False))
-        assert contents(inc) == contents(full)
-    assert inc.current.read().count() == 5  # vanished stations stay
-    assert rows(inc.settled.read().select("through").distinct()) == [(date(2026, 1, 2),)]
-
-
-def test_settled_sums_advance_with_the_days(spark, tmp_path):
-    wh, plain = (Warehouse(spark, str(tmp_path / n)) for n in ("settled", "plain"))
-    for day in range(1, 6):
-        write(tmp_path, f"information{day}", f"2026010{day}_080000",
-              [station(k, "c", f"n{k}", 48.5, 2.5, 10) for k in range(3)])
-        write(tmp_path, f"status{day}", f"2026010{day}_080000",
-              [status(k, "c", day + k, 1, [], 0) for k in range(3)])
-        batch(wh, tmp_path, day, Settings(rows=BOUNDS, settle_days=2))
-        batch(plain, tmp_path, day, Settings(rows=BOUNDS, incremental=False))
-    assert contents(wh) == contents(plain)
-    # Days 1 and 2 lie before the newest day less two; the others are added up on demand.
-    assert rows(wh.settled.read(), "id_station", "total", "observations") == [
-        (0, 3, 2), (1, 5, 2), (2, 7, 2)]
+    folder, after = history
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    for i, expected in zip(ARRIVAL, after):
+        batch(wh, folder, i, Settings(rows=BOUNDS, settle_days=1))
+        assert contents(wh) == expected
+    assert wh.current.read().count() == 5  # vanished stations stay
+    assert rows(wh.settled.read().select("through").distinct()) == [(date(2026, 1, 2),)]
 
 
-def test_next_cycle_makes_up_for_a_failed_gold_step(spark, tmp_path, monkeypatch):
-    snapshots(tmp_path)
-    wh, whole = (Warehouse(spark, str(tmp_path / n)) for n in ("broken", "whole"))
-    settings = Settings(rows=BOUNDS)
-    for i in (0, 1, 2):
-        batch(whole, tmp_path, i, settings)
-    batch(wh, tmp_path, 0, settings)
+def test_next_cycle_makes_up_for_a_failed_gold_step(spark, tmp_path, history, monkeypatch):
+    folder, after = history
+    wh, settings = Warehouse(spark, str(tmp_path / "wh")), Settings(rows=BOUNDS)
+    batch(wh, folder, ARRIVAL[0], settings)
     with monkeypatch.context() as patch:
         patch.setattr(medallion, "build_current", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
-            batch(wh, tmp_path, 1, settings)
-    batch(wh, tmp_path, 2, settings)
-    assert contents(wh) == contents(whole)
+            batch(wh, folder, ARRIVAL[1], settings)
+    batch(wh, folder, ARRIVAL[2], settings)
+    assert contents(wh) == after[-1]
     assert run_history(wh.log.runs()).filter(f"dag_id = '{GOLD_DAG}'").first().failures == 1
+
+
+def test_settled_sums_advance_with_the_days(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    write(tmp_path, "information", "20260101_080000",
+          [station(k, "c", f"n{k}", 48.5, 2.5, 10) for k in range(2)])
+    for day in range(1, 5):
+        write(tmp_path, "status", f"2026010{day}_080000",
+              [status(k, "c", day + k, 1, [], 0) for k in range(2)])
+        cycle(wh, tmp_path, at(8, 1, day=day), Settings(rows=BOUNDS, settle_days=1))
+    # Days 1 and 2 lie before the newest day less one; the others are added up on demand.
+    assert rows(wh.settled.read(), "id_station", "total", "observations") == [
+        (0, 3, 2), (1, 5, 2)]
+    assert rows(wh.hourly.read(), "id_station", "moy_velos_disponibles",
+                "moy_taux_disponibilite", "nb_observations") == [
+        (0, Decimal("2.50"), Decimal("0.250"), 4), (1, Decimal("3.50"), Decimal("0.350"), 4)]
