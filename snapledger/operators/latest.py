@@ -7,27 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import broadcast_if_small
+from .sizing import is_small
 
+#: A key with more rows than this is joined by broadcast, apart from the others.
+HOT_ROWS = 10_000_000
 
-def latest(df: DataFrame, keys: Sequence[str], ts: str,
-           within: DataFrame | None = None) -> DataFrame:
+
+def latest(df: DataFrame, keys: Sequence[str], ts: str, within: DataFrame | None = None,
+           hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows whose ``ts`` is the greatest of their key; tied rows are all kept.
 
-    The maxima come from a hash aggregate over two columns and are joined back on key *and*
-    instant.  Neither step gathers a key in one task: the aggregate combines before its
-    shuffle, and the join spreads one key over its instants (AQE splits what still ties).
-    A sort of the whole history, as a ranking window needs, is avoided.
+    The maxima come from a hash aggregate over two columns, combined before its shuffle, and
+    are joined back on key and instant.  A sort of the whole history, as a ranking window
+    needs, is avoided.
 
     ``within`` is a dimension keyed by ``keys``: only its keys are wanted, its other columns
-    are joined on.  As it bounds the number of maxima, a small dimension turns the join
-    into a broadcast and the history is never shuffled.
+    are joined on.  As it bounds the number of maxima, a small dimension makes the join a
+    broadcast, and the history is never shuffled.
+
+    Otherwise the history is shuffled, except for the rows of hot keys.  There are at most
+    ``rows / hot_rows`` of these, so their maxima can always be broadcast: neither a hot key
+    nor a mass of copies of its last row ends up in one task.
     """
     keys = list(keys)
-    newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
+    newest = df.groupBy(*keys).agg(F.max(ts).alias(ts), F.count(F.lit(1)).alias("_rows"))
     if within is not None:
-        newest = broadcast_if_small(newest.join(within, keys), bound=within)
-    return df.join(newest, [*keys, ts])
+        newest = newest.join(within, keys)
+        if is_small(within):
+            return df.join(F.broadcast(newest.drop("_rows")), [*keys, ts])
+    if is_small(df):
+        return df.join(newest.drop("_rows"), [*keys, ts])
+    hot = F.broadcast(newest.filter(F.col("_rows") > hot_rows).drop("_rows"))
+    cold = newest.filter(F.col("_rows") <= hot_rows).drop("_rows")
+    others = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return others.join(cold, [*keys, ts]).unionByName(df.join(hot, [*keys, ts]))
 
 
 def latest_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

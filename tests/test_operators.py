@@ -59,22 +59,40 @@ def key(rows_):
 
 @pytest.mark.parametrize("threshold", ["10m", "-1"])
 @pytest.mark.parametrize("partitions", [1, 7])
-def test_latest_keeps_ties_and_survives_skew(spark, threshold, partitions):
+@pytest.mark.parametrize("hot_rows", [500, 10**7])
+def test_latest_keeps_ties_and_survives_skew(spark, threshold, partitions, hot_rows):
     data = skewed(1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         df = spark.createDataFrame(data, FACT).repartition(partitions)
-        got = latest(df, ["k"], "ts").select("k", "ts", "v")
+        got = latest(df, ["k"], "ts", hot_rows=hot_rows).select("k", "ts", "v")
         assert key(map(tuple, got.collect())) == key(brute_latest(data))
         dimension = spark.createDataFrame([(k, f"n{k}") for k in range(0, 120, 2)] + [(7, "seven")],
                                           "k long, name string")
-        got = latest(df, ["k"], "ts", within=dimension).select("k", "ts", "v")
+        got = latest(df, ["k"], "ts", within=dimension, hot_rows=hot_rows)
+        assert got.filter("name IS NULL").count() == 0
         wanted = [r for r in brute_latest(data) if r[0] % 2 == 0 or r[0] == 7]
-        assert key(map(tuple, got.collect())) == key(wanted)
+        assert key(map(tuple, got.select("k", "ts", "v").collect())) == key(wanted)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_of_hot_keys_are_not_shuffled_for_the_join(spark):
+    """With nothing else broadcast, the copies of the hot key bypass the sort-merge join."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        df = spark.createDataFrame(skewed(1), FACT)
+        text = plan(latest(df, ["k"], "ts", hot_rows=500))
+        merge = text[text.index("SortMergeJoin"):]
+        assert "LeftAnti" in merge  # hot rows leave before the exchange
+        assert text.count("BroadcastHashJoin") == 2
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_latest_one_is_total(spark):
     data = skewed(2)
     df = spark.createDataFrame(data, FACT)
