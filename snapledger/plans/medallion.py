@@ -71,6 +71,9 @@ class Settings:
 
     With ``quarantine`` readings that break a row rule are set aside instead of merged, and
     stations that do are listed as suspect; without it such rows only raise alerts.
+
+    A reading must belong to a station of its own batch.  ``known_stations`` also accepts those
+    of earlier batches, as is needed to catch up on snapshots older than the station document.
     """
 
     rows: tuple[int, int] = SNAPSHOT_ROWS
@@ -78,6 +81,7 @@ class Settings:
     incremental: bool = True
     settle_days: int = 7
     quarantine: bool = False
+    known_stations: bool = False
     fresh_minutes: float = 15
 
 
@@ -166,7 +170,10 @@ def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: dat
         if settings.quarantine:
             reading = set_aside(wh, stage, station, reading, settings)
         verify(station, STATION_CONTRACT)
-        verify(reading, READING_CONTRACT, {"station": station})
+        parents = station.select("id_station")
+        if settings.known_stations:
+            parents = parents.unionByName(wh.station.read().select("id_station"))
+        verify(reading, READING_CONTRACT, {"station": parents})
         return merge_silver(wh, station, reading, at, settings)
 
 

@@ -179,6 +179,13 @@ def test_orphan_reading_is_fatal(spark, tmp_path):
     with pytest.raises(ContractViolation, match="999"):
         run()
     assert wh.station.read().count() == 0
+    # unless the station is known from before and that is accepted
+    wh.station.replace(spark.createDataFrame(
+        [(999, "c", "Old", 48.5, 2.5, 4, None)], wh.station.schema))
+    with pytest.raises(ContractViolation, match="999"):
+        run()
+    cycle(wh, tmp_path, at(8, 2), Settings(rows=BOUNDS, known_stations=True))
+    assert rows(wh.current.read(), "id_station", "nom") == [(999, "Old")]
 
 
 def test_missing_field_fails_two_rules_without_a_crash(spark, tmp_path):
