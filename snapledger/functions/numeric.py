@@ -20,8 +20,8 @@ def to_number_or_null(text: Column) -> Column:
 
 
 def _integer(text: Column, kind: str) -> Column:
-    """Digit strings only.  TRY_CAST turns each failure into an exception and back, which is
-    far slower than the pattern; so it is shown only what it can read."""
+    """Digit strings only.  A failing TRY_CAST is far slower than the pattern; so it is shown
+    only what it can read."""
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast(kind))
 
 
