@@ -24,7 +24,7 @@ SAMPLE, SAMPLE_CHARS, DICTIONARY = 400, 2_000, 1 << 16
 #: Bytes that are compressed at once, and the level.
 BLOCK, LEVEL = 4096, 5
 #: Texts whose runner-up is less than this share larger are rejected.
-MARGIN = 0.002
+MARGIN = 0.001
 UNKNOWN = "und"
 #: Small letters and all of UTF-8 beyond ASCII stay.
 _LETTERS = bytes(b if b > 127 or 97 <= b <= 122 else 32 for b in range(256))

@@ -22,6 +22,9 @@ SAMPLE, SAMPLE_BYTES = 4_000, 6_000
 #: Steps of Adam, its rate, and the weight of the Gaussian prior.
 STEPS, RATE, PRIOR = 150, 0.08, 1e-3
 
+#: Features of a line: ten of its own, as many of either neighbour, first, last.
+WIDTH = 32
+
 _SYMBOLS = b"#*$%&|<>"
 
 
@@ -60,7 +63,7 @@ def lines(texts: list[str]) -> Lines:
         ends.append(len(rows))
     ends_, n = np.array(ends, dtype=np.int64), len(rows)
     if not n:
-        return Lines(np.zeros((0, 1)), np.zeros(0), ends_)
+        return Lines(np.zeros((0, WIDTH)), np.zeros(0), ends_)
     length = np.array([len(r) for r in rows], dtype=np.float64)
     data = np.frombuffer(b"".join(rows), dtype=np.uint8)
     begin = np.concatenate([[0], np.cumsum(length)[:-1]]).astype(np.int64)

@@ -66,11 +66,11 @@ def pack(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     bundles = shards * BUNDLES
     base, table = bundles, []
     for group in large:
-        cut = int(np.ceil(group.share * LARGE / 2))
+        cut = min(group.rows, int(np.ceil(group.share * LARGE / 2)))
         table.append((group.same, base, cut))
         base += cut
     heavy = F.broadcast(spark.createDataFrame(table, "same long, base long, cut long"))
-    bundle = F.when(F.col("base").isNotNull(), F.col("base") + F.pmod(F.xxhash64("row"), "cut")
+    bundle = F.when(F.col("base").isNotNull(), F.col("base") + F.pmod(F.xxhash64(F.coalesce("doc_id", "row")), "cut")
                     ).otherwise(F.pmod(F.xxhash64("same"), F.lit(bundles)))
     rows = rows.join(heavy, "same", "left").withColumn("bundle", bundle).drop("base", "cut")
 

@@ -13,9 +13,9 @@ sorted, and every window is settled by the anchor that owns it:
    repeat, goes on, and so do the tokens at a bucket's ends.
 2. For those, the stretch itself is fetched and range-partitioned by the token; a bucket
    expands it into windows and sorts them by multikey quicksort on eight-byte tokens.
-3. Windows of tokens at a bucket's ends are compared across boundaries: they are
-   range-partitioned by themselves, and a bucket's first window is compared with the last one
-   of the bucket before it.
+3. Windows of tokens at a bucket's ends, the first of each kind in its bucket, are compared
+   across boundaries: they are range-partitioned by themselves, and a bucket's first window is
+   compared with the last one of the bucket before it.
 
 Equality of stretches in step 1 rests on two independent 64-bit hashes and their lengths, in
 step 3 on eight bytes of text and a 64-bit hash, in step 2 on the bytes.
@@ -241,7 +241,7 @@ def _windows(span: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2 in a bucket; windows of the tokens at its ends are handed on."""
+    """Step 2 in a bucket; of the tokens at its ends, windows that are new here are handed on."""
     table = whole(batches)
     if table is None:
         return
@@ -260,10 +260,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _big_endian(np.frombuffer(b"".join(raw), dtype=np.uint8))
         begin = np.cumsum([0, *map(len, raw)])[:-1]
         row, nth, place = _windows(span[part], begin)
-        lo, last = span[part] >> 14, ends[part][row]
-        inner = np.flatnonzero(~last)
-        found = np.zeros(len(row), dtype=bool)
-        found[inner] = repeats(words, place[inner], token[part][row[inner]])
+        lo = span[part] >> 14
+        found = repeats(words, place, token[part][row])
         hit = np.flatnonzero(found)
         if len(hit):
             start = np.concatenate([[True], (row[hit][1:] != row[hit][:-1])
@@ -273,8 +271,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             r = row[first]
             yield _windows_out(REPEAT, doc[part][r], tie[part][r],
                                (lo[r] + nth[first]) << 14 | length << 7)
-        if last.any():
-            place, row, nth = place[last], row[last], nth[last]
+        handed = ends[part][row] & ~found
+        if handed.any():
+            place, row, nth = place[handed], row[handed], nth[handed]
             h = np.zeros(len(place), dtype=U)
             for depth in range(8, LENGTH, 8):
                 word = words[place + depth]

@@ -129,7 +129,7 @@ def test_pipeline_stage_by_stage(spark):
             kept = spark.createDataFrame(kept.collect(), docs.schema)
         rows = {r.doc_id: r for r in kept.collect()}
         if name == "language":
-            assert len(rows) >= 0.99 * len(before)
+            assert len(rows) >= 0.98 * len(before)
         elif name == "near_duplicates":
             assert set(rows) == {d for d, _, c in slow_components(texts) if d == c}
         elif name == "repeated_passages":

@@ -108,7 +108,7 @@ ITEMS = [(1, prose(3)), (2, prose(40)), (3, "One"), (10, "the QUICK, brown"), (N
          (4, None), (5, "..."), (6, prose(4, 9)), (6, prose(8, 9)), (7, prose(3))]
 
 
-@pytest.mark.parametrize("block", [1, 300, 1 << 20])
+@pytest.mark.parametrize("block", [700, 1 << 20])
 def test_passages(spark, block):
     df = awkward(spark)
     items = spark.createDataFrame([(*r, "x") for r in ITEMS], "item_id long, text string, hits string")
