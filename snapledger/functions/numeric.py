@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 # Decimal literals only: leaves out hex, digit separators, type suffixes, NaN and infinity,
 # which a bare TRY_CAST would accept in part.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+#: Measures and capacities may have fractions; six digits of them are kept.
+EXACT, EXACT_SUM = "decimal(18,6)", "decimal(24,6)"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 
 
@@ -50,9 +52,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 def guarded_ratio(value: Column, capacity: Column, scale: int = 3) -> Column:
     """``value / capacity`` rounded half-up; 0 without a positive capacity, NULL without a value."""
-    ratio = F.round(value.cast("decimal(10,0)") / capacity.cast("int"), scale)
+    exact = capacity.cast(EXACT)
+    ratio = F.round(value.cast(EXACT) / F.nullif(exact, F.lit(0).cast(EXACT)), scale)
     return (F.when(value.isNull(), F.lit(None))
-            .when(capacity > 0, ratio)
+            .when(exact > 0, ratio)
             .otherwise(F.lit(0))).cast(T.DecimalType(14, scale))
 
 
@@ -63,9 +66,9 @@ def capped_ratio(value: Column, capacity: Column, scale: int = 3) -> Column:
 
 
 def mean_half_up(total: Column, count: Column, scale: int = 2) -> Column:
-    """``total / count`` from integer sums, rounded half-up without leaving DECIMAL."""
+    """``total / count`` of an exact sum, rounded half-up without leaving DECIMAL."""
     divisor = F.nullif(count.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
-    return F.round(total.cast("decimal(18,0)") / divisor, scale)
+    return F.round(total.cast(EXACT_SUM) / divisor, scale)
 
 
 def mean_ratio_half_up(total: Column, count: Column, capacity: Column, scale: int = 3) -> Column:
@@ -74,5 +77,7 @@ def mean_ratio_half_up(total: Column, count: Column, capacity: Column, scale: in
     ``sum / (count * capacity)`` is exact; averaging rounded quotients is not.  Without a
     positive capacity every ratio of the group is 0, and so is the mean.
     """
-    return F.when(capacity > 0, mean_half_up(total, count * capacity.cast("bigint"), scale)) \
+    exact = capacity.cast(EXACT)
+    divisor = F.nullif(count.cast("decimal(12,0)") * exact, F.lit(0).cast(EXACT_SUM))
+    return F.when(exact > 0, F.round(total.cast(EXACT_SUM) / divisor, scale)) \
         .otherwise(F.lit(0)).cast(T.DecimalType(18, scale))

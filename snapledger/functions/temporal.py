@@ -14,6 +14,9 @@ MAX_EPOCH_SECONDS = 9223372036
 
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
 STAMP_PATTERN = r"(\d{8}_\d{6})"
+#: The stamp in the file's own name; a folder's stamp counts only as ``batch_ts=<stamp>``.
+NAME_PATTERN = STAMP_PATTERN + r"[^/]*$"
+FOLDER_PATTERN = r"(?:^|/)batch_ts=" + STAMP_PATTERN + r"(?:/|$)"
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
@@ -33,8 +36,14 @@ def batch_instant(instant: datetime | Column) -> Column:
 
 
 def instant_from_name(path: Column) -> Column:
-    """The ``yyyyMMdd_HHmmss`` stamp in a landed file's path, read as UTC; NULL without one."""
-    return F.try_to_timestamp(F.regexp_extract(path, STAMP_PATTERN, 1), F.lit(STAMP_FORMAT))
+    """The ``yyyyMMdd_HHmmss`` stamp of a landed file, read as UTC; NULL without one.
+
+    It is the first stamp in the file's name, else that of a ``batch_ts=`` folder.  Stamps in
+    the names of other folders say nothing about the file.
+    """
+    found = [F.try_to_timestamp(F.regexp_extract(path, pattern, 1), F.lit(STAMP_FORMAT))
+             for pattern in (NAME_PATTERN, FOLDER_PATTERN)]
+    return F.coalesce(*found)
 
 
 def stamp(instant: Column) -> Column:

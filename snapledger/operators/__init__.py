@@ -2,7 +2,7 @@
 
 from .conform import conform, surrogate_key
 from .latest import latest, latest_one
-from .merge import dedup_stream, insert_new, require_unique, upsert
+from .merge import dedup_batch, insert_new, require_unique, upsert
 from .keys import dedup_first, drop_incomplete, duplicated_keys, orphan_keys, orphan_sample
 from .profiles import (
     current_state,
@@ -12,10 +12,10 @@ from .profiles import (
     partials_to_profile,
     roll_up,
 )
-from .sizing import broadcast_if_small, estimated_bytes
+from .sizing import counted_bytes, estimated_bytes
 
 __all__ = [
-    "broadcast_if_small", "conform", "current_state", "dedup_first", "dedup_stream",
+    "conform", "counted_bytes", "current_state", "dedup_batch", "dedup_first",
     "drop_incomplete", "duplicated_keys", "estimated_bytes", "hourly_partials",
     "hourly_profile", "insert_new", "latest", "latest_one", "network_kpis", "orphan_keys",
     "orphan_sample", "partials_to_profile", "require_unique", "roll_up",

@@ -9,38 +9,31 @@ from pyspark.sql import functions as F
 
 from .sizing import is_small
 
-#: A key with more rows than this is joined by broadcast, apart from the others.
-HOT_ROWS = 10_000_000
 
-
-def latest(df: DataFrame, keys: Sequence[str], ts: str, within: DataFrame | None = None,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All rows whose ``ts`` is the greatest of their key; tied rows are all kept.
-
-    The maxima come from a hash aggregate over two columns, combined before its shuffle, and
-    are joined back on key and instant.  A sort of the whole history, as a ranking window
-    needs, is avoided.
+def latest(df: DataFrame, keys: Sequence[str], ts: str,
+           within: DataFrame | None = None) -> DataFrame:
+    """All rows whose ``ts`` is the greatest of their key; tied rows are all kept.  Rows with a
+    NULL key or instant are none of them.
 
     ``within`` is a dimension keyed by ``keys``: only its keys are wanted, its other columns
-    are joined on.  As it bounds the number of maxima, a small dimension makes the join a
-    broadcast, and the history is never shuffled.
+    are joined on.  If its rows are counted to fit a broadcast, so do the maxima, which come
+    from a hash aggregate over two columns: they are joined back on key and instant, and the
+    history is not shuffled.
 
-    Otherwise the history is shuffled, except for the rows of hot keys.  There are at most
-    ``rows / hot_rows`` of these, so their maxima can always be broadcast: neither a hot key
-    nor a mass of copies of its last row ends up in one task.
+    Otherwise ``rank = 1`` is taken in one scan.  Spark limits the groups before the shuffle
+    (``WindowGroupLimit``), so a key sends its local maxima of each input partition and nothing
+    else, whether it is hot, or unknown to the dimension.
     """
     keys = list(keys)
-    newest = df.groupBy(*keys).agg(F.max(ts).alias(ts), F.count(F.lit(1)).alias("_rows"))
-    if within is not None:
-        newest = newest.join(within, keys)
-        if is_small(within):
-            return df.join(F.broadcast(newest.drop("_rows")), [*keys, ts])
-    if is_small(df):
-        return df.join(newest.drop("_rows"), [*keys, ts])
-    hot = F.broadcast(newest.filter(F.col("_rows") > hot_rows).drop("_rows"))
-    cold = newest.filter(F.col("_rows") <= hot_rows).drop("_rows")
-    others = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return others.join(cold, [*keys, ts]).unionByName(df.join(hot, [*keys, ts]))
+    rows = df.dropna(subset=[*keys, ts])
+    if within is not None and is_small(within):
+        newest = rows.groupBy(*keys).agg(F.max(ts).alias(ts)).join(within, keys)
+        return rows.join(F.broadcast(newest), [*keys, ts])
+    window = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+    others = [c for c in df.columns if c not in (*keys, ts)]
+    newest = (rows.withColumn("_rank", F.rank().over(window)).filter("_rank = 1")
+              .select(*keys, ts, *others))
+    return newest if within is None else newest.join(within, keys)
 
 
 def latest_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

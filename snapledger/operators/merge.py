@@ -37,9 +37,10 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return source.join(target.select(*keys), list(keys), "left_anti")
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """Drop repeats of a key that arrive within ``delay``; state is bounded by the watermark.
+def dedup_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key of a (micro-)batch.
 
-    Later repeats are left to :func:`insert_new` against the table itself.
+    Repeats in later batches are left to :func:`insert_new` against the table.  There is no
+    watermark: a key that arrives for the first time is kept however late it is.
     """
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    return df.dropDuplicates(list(keys))

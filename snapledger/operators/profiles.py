@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.numeric import capped_ratio, mean_half_up, mean_ratio_half_up
+from ..functions.numeric import EXACT, capped_ratio, mean_half_up, mean_ratio_half_up
 from ..functions.temporal import hour_of_day
 from .latest import latest
 
@@ -44,12 +45,14 @@ def hourly_partials(readings: DataFrame, roles: Roles, bucket: Column | None = N
 
     Ratios are left out on purpose: they use the capacity known at roll-up time.  Partials of
     several frames can be unioned; their size does not depend on the number of readings.
+    Sums are BIGINT for a whole measure, else DECIMAL with six digits of fraction.
     """
     groups = [F.col(roles.key),
               (hour_of_day(F.col(roles.ts)) if bucket is None else bucket).alias("bucket")]
     if day is not None:
         groups.append(day.alias("day"))
-    value = F.col(roles.available).cast("bigint")
+    whole = isinstance(readings.schema[roles.available].dataType, T.IntegralType)
+    value = F.col(roles.available).cast("bigint" if whole else EXACT)
     return readings.groupBy(*groups).agg(
         F.sum(value).alias("total"),
         F.count(value).alias("values"),

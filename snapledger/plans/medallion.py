@@ -140,7 +140,7 @@ def _logged(wh: Warehouse, dag: str, at: datetime, step: Callable[[], tuple]) ->
         result = step()
     except Exception as error:
         wh.log.run(**entry, end_time=datetime.now(timezone.utc), status="failed",
-                   error_message=str(error)[:2000])
+                   error_message=str(error))
         raise
     wh.log.run(**entry, end_time=datetime.now(timezone.utc), status="success",
                records_processed=result[0])
@@ -224,13 +224,13 @@ def run_gold(wh: Warehouse, at: datetime, settings: Settings = Settings(),
         # A reading may come from both sides; ties are kept by latest(), so remove it here.
         candidates = (recent.select(*known.columns).unionByName(known)
                       .dropDuplicates(READING_KEY))
-    wh.current.replace(upsert(published, build_current(candidates, stations), ["id_station"]))
+    wh.current.replace(upsert(published, build_current(candidates, stations), ["id_station"]),
+                       check=lambda written: verify(written, CURRENT_CONTRACT))
     current = wh.current.read()
-    verify(current, CURRENT_CONTRACT)
 
     sums = hourly_sums(wh, recent_from, settings.settle_days)
-    wh.hourly.replace(build_hourly(sums, stations), sort=["id_station", "heure"])
-    verify(wh.hourly.read(), HOURLY_CONTRACT)
+    wh.hourly.replace(build_hourly(sums, stations), sort=["id_station", "heure"],
+                      check=lambda written: verify(written, HOURLY_CONTRACT))
     wh.define_views()
 
     results = validate(wh.spark, current, gold_suite(settings.rows, settings.variant),

@@ -1,18 +1,21 @@
 """Tables on plain Parquet.
 
 Spark cannot MERGE into Parquet or swap a directory atomically, so a table that is replaced
-as a whole is kept as immutable versions: data is written to a new directory and becomes
-current when an empty marker file carrying the directory's name is created.  Creating one
-file is atomic on HDFS, object stores and local disks; a writer that dies earlier leaves
-the current version untouched.  One writer per table is assumed.
+as a whole is kept as immutable versions: data is written to a new directory, checked there,
+and becomes current when a marker file is created that is named by the version's number and
+holds the directory's name.  A second writer of the same number finds the marker and fails.
+Creation without overwriting is atomic on HDFS and local disks; on an object store it needs a
+connector with conditional puts.  A writer that dies earlier leaves the current version
+untouched, and a marker that it left empty counts as no version.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +23,10 @@ from pyspark.sql import types as T
 from ..operators.conform import conform
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has committed the version that this one was about to."""
+
+
 class VersionedTable:
     """A table replaced as a whole by each write; readers see one complete version."""
 
@@ -35,11 +42,37 @@ class VersionedTable:
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
 
     def versions(self) -> list[str]:
-        """Committed versions, oldest first."""
+        """Directories of the committed versions, oldest first."""
+        return [folder for _, folder in self._markers() if folder]
+
+    def _markers(self) -> list[tuple[str, str]]:
+        """Name and content of the markers, oldest first."""
         fs, markers = self._fs(), self._at("_committed")
         if not fs.exists(markers):
             return []
-        return sorted(status.getPath().getName() for status in fs.listStatus(markers))
+        names = sorted(status.getPath().getName() for status in fs.listStatus(markers))
+        return [(name, self._content(fs, name)) for name in names]
+
+    def _content(self, fs, name: str) -> str:
+        stream = fs.open(self._at("_committed", name))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _commit(self, fs, number: int, folder: str) -> None:
+        marker = self._at("_committed", f"{number:08d}")
+        if fs.exists(marker):
+            raise ConcurrentWrite(f"{self.path}: version {number} was committed meanwhile")
+        try:
+            stream = fs.create(marker, False)
+        except Py4JJavaError as error:
+            raise ConcurrentWrite(f"{self.path}: version {number} was committed meanwhile"
+                                  ) from error
+        try:
+            stream.write(bytearray(folder.encode()))
+        finally:
+            stream.close()
 
     def read(self) -> DataFrame:
         """The current version; a table never written reads as empty."""
@@ -48,22 +81,33 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/{committed[-1]}")
 
-    def replace(self, df: DataFrame, sort: Sequence[str] = ()) -> str:
-        """Write ``df`` as a new version and make it current.  ``df`` may read this table."""
-        committed = self.versions()
-        number = int(committed[-1][2:10]) + 1 if committed else 1
+    def replace(self, df: DataFrame, sort: Sequence[str] = (),
+                check: Callable[[DataFrame], None] | None = None) -> str:
+        """Write ``df`` as a new version and make it current.  ``df`` may read this table.
+
+        ``check`` gets what was written and raises if it must not be published; the current
+        version then stays, and what was written is removed.
+        """
+        markers = self._markers()
+        number = int(markers[-1][0]) + 1 if markers else 1
         version = f"v={number:08d}-{uuid.uuid4().hex[:8]}"
         typed = conform(df, self.schema)
         if sort:
             typed = typed.sortWithinPartitions(*sort)
         typed.write.parquet(f"{self.path}/{version}")
         fs = self._fs()
-        fs.mkdirs(self._at("_committed"))
-        if not fs.createNewFile(self._at("_committed", version)):
-            raise RuntimeError(f"version {version} was already committed")
-        for old in [*committed, version][:-self.keep]:
+        try:
+            if check is not None:
+                check(self.spark.read.schema(self.schema).parquet(f"{self.path}/{version}"))
+            fs.mkdirs(self._at("_committed"))
+            self._commit(fs, number, version)
+        except Exception:
+            fs.delete(self._at(version), True)
+            raise
+        for old, folder in self._markers()[:-self.keep]:
             fs.delete(self._at("_committed", old), False)
-            fs.delete(self._at(old), True)
+            if folder:
+                fs.delete(self._at(folder), True)
         return version
 
 

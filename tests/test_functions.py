@@ -98,6 +98,14 @@ def test_stamps(spark):
     assert tuple(row) == ("2026-01-01 08:00:00", None, "20260101_080000", "2026-01-01 08:00:00")
 
 
+def test_stamp_is_that_of_the_file(spark):
+    paths = ["s3://b/backfill_20250101_000000/status_20250102_080500.json", "b/backfill_20250101_000000/s.json",
+             "b/batch_ts=20260101_080000/part-0.json", "b/batch_ts=20260101_080000/s_20260102_080000.json"]
+    found = spark.createDataFrame([(p,) for p in paths], "p string").select(
+        fn.instant_from_name(F.col("p")).cast("string")).collect()
+    assert [r[0] for r in found] == ["2025-01-02 08:05:00", None, "2026-01-01 08:00:00", "2026-01-02 08:00:00"]
+
+
 def test_hour_of_day_in_a_zone(spark):
     df = spark.sql("SELECT TIMESTAMP '2026-07-01 23:30:00' AS t")
     assert tuple(df.select(fn.hour_of_day(F.col("t")),

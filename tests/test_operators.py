@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.operators import (
+    dedup_batch,
     conform,
     current_state,
     dedup_first,
@@ -29,8 +30,9 @@ from snapledger.operators import (
 )
 from snapledger.operators.merge import DuplicateKeys
 from snapledger.operators.profiles import Roles
-from snapledger.operators.sizing import broadcast_if_small, broadcast_limit, estimated_bytes
+from snapledger.operators.sizing import broadcast_limit, counted_bytes, estimated_bytes, is_small
 from snapledger.sources import AppendTable, VersionedTable, overwrite_days
+from snapledger.sources.tables import ConcurrentWrite
 
 FACT = "k long, ts int, v int"
 
@@ -59,17 +61,16 @@ def key(rows_):
 
 @pytest.mark.parametrize("threshold", ["10m", "-1"])
 @pytest.mark.parametrize("partitions", [1, 7])
-@pytest.mark.parametrize("hot_rows", [500, 10**7])
-def test_latest_keeps_ties_and_survives_skew(spark, threshold, partitions, hot_rows):
+def test_latest_keeps_ties_and_survives_skew(spark, threshold, partitions):
     data = skewed(1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         df = spark.createDataFrame(data, FACT).repartition(partitions)
-        got = latest(df, ["k"], "ts", hot_rows=hot_rows).select("k", "ts", "v")
+        got = latest(df, ["k"], "ts").select("k", "ts", "v")
         assert key(map(tuple, got.collect())) == key(brute_latest(data))
         dimension = spark.createDataFrame([(k, f"n{k}") for k in range(0, 120, 2)] + [(7, "seven")],
                                           "k long, name string")
-        got = latest(df, ["k"], "ts", within=dimension, hot_rows=hot_rows)
+        got = latest(df, ["k"], "ts", within=dimension)
         assert got.filter("name IS NULL").count() == 0
         wanted = [r for r in brute_latest(data) if r[0] % 2 == 0 or r[0] == 7]
         assert key(map(tuple, got.select("k", "ts", "v").collect())) == key(wanted)
@@ -77,22 +78,33 @@ def test_latest_keeps_ties_and_survives_skew(spark, threshold, partitions, hot_r
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_rows_of_hot_keys_are_not_shuffled_for_the_join(spark):
-    """With nothing else broadcast, the copies of the hot key bypass the sort-merge join."""
+def test_latest_of_a_large_dimension_scans_once(spark):
+    """Without a broadcast: one scan of the fact, and only local maxima cross the exchange, also
+    those of a hot key that the dimension lacks."""
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        df = spark.createDataFrame(skewed(1), FACT)
-        text = plan(latest(df, ["k"], "ts", hot_rows=500))
-        merge = text[text.index("SortMergeJoin"):]
-        assert "LeftAnti" in merge  # hot rows leave before the exchange
-        assert text.count("BroadcastHashJoin") == 2
+        data = [(-1, t % 50, t) for t in range(3000)] + skewed(1)
+        df = spark.createDataFrame(data, FACT).repartition(3)
+        dimension = spark.createDataFrame([(k,) for k in range(120)], "k long")
+        got = latest(df, ["k"], "ts", within=dimension)
+        text = plan(got)
+        assert text.count("Scan ExistingRDD") == 2 and text.count("WindowGroupLimit") == 2
+        assert text.rindex("WindowGroupLimit") < text.index("Scan ExistingRDD")
+        wanted = [r for r in brute_latest(data) if 0 <= r[0] < 120]
+        assert key(map(tuple, got.select("k", "ts", "v").collect())) == key(wanted)
     finally:
         for name in settings:
             spark.conf.unset(name)
 
 
+def test_latest_without_key_or_instant(spark):
+    df = spark.createDataFrame([(None, 5, 1), (1, None, 2), (1, 3, 3), (2, None, 4)], FACT)
+    for within in (None, spark.createDataFrame([(1,), (2,), (None,)], "k long")):
+        assert [tuple(r) for r in latest(df, ["k"], "ts", within=within).collect()] == [(1, 3, 3)]
+
+
 def test_latest_one_is_total(spark):
     data = skewed(2)
     df = spark.createDataFrame(data, FACT)
@@ -239,19 +251,17 @@ def test_state_and_indicators(spark):
 
 
 def test_broadcast_only_behind_a_size_check(spark, tmp_path):
-    spark.range(200000).write.parquet(str(tmp_path / "big"))
+    spark.range(200000).selectExpr("id % 7 AS id").write.parquet(str(tmp_path / "big"))
     spark.range(10).write.parquet(str(tmp_path / "small"))
     big, small = (spark.read.parquet(str(tmp_path / n)) for n in ("big", "small"))
-
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    assert counted_bytes(small) == 160 and counted_bytes(big.filter("false")) == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
     try:
-        assert broadcast_limit(big) == 100 * 1024
-        assert estimated_bytes(small) < 100 * 1024 < estimated_bytes(big)
-        assert hinted(broadcast_if_small(small)) and not hinted(broadcast_if_small(big))
-        assert hinted(broadcast_if_small(big, bound=small))
+        assert broadcast_limit(big) == 200 * 1024
+        assert estimated_bytes(big) < 200 * 1024 < counted_bytes(big)  # it compresses well
+        assert is_small(small) and not is_small(big)
+        exploded = small.selectExpr("id", "explode(sequence(1, 100000)) AS n")
+        assert not is_small(exploded)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -278,6 +288,36 @@ def test_versioned_table(spark, tmp_path):
     assert len(table.versions()) == 2
 
 
+def test_a_version_is_checked_before_it_is_published(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), TABLE)
+    table.replace(spark.createDataFrame([(1, "a")], TABLE))
+
+    def refuse(written):
+        assert rows(written) == [(2, "b")]
+        raise ValueError("broken")
+
+    with pytest.raises(ValueError, match="broken"):
+        table.replace(spark.createDataFrame([(2, "b")], TABLE), check=refuse)
+    assert rows(table.read()) == [(1, "a")] and len(table.versions()) == 1
+    assert len(list((tmp_path / "t").glob("v=*"))) == 1
+
+
+def test_a_second_writer_of_a_version_is_refused(spark, tmp_path):
+    one, two = (VersionedTable(spark, str(tmp_path / "t"), TABLE) for _ in range(2))
+    one.replace(spark.createDataFrame([(1, "a")], TABLE))
+
+    def meanwhile(written):
+        two.replace(spark.createDataFrame([(2, "b")], TABLE))
+
+    with pytest.raises(ConcurrentWrite):
+        one.replace(spark.createDataFrame([(3, "c")], TABLE), check=meanwhile)
+    assert rows(one.read()) == [(2, "b")]
+    (tmp_path / "t" / "_committed" / "00000003").touch()  # a writer died while committing
+    assert rows(one.read()) == [(2, "b")]
+    one.replace(spark.createDataFrame([(4, "d")], TABLE))
+    assert rows(one.read()) == [(4, "d")]
+
+
 LOG = T.StructType([T.StructField("t", T.TimestampType(), False),
                     T.StructField("v", T.IntegerType(), False)])
 
@@ -301,3 +341,25 @@ def test_append_table_prunes_days(spark, tmp_path):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fractional_measures_and_capacities(spark):
+    roles = Roles(key="k", ts="t", available="a", capacity="c")
+    fact = spark.createDataFrame([(1, datetime(2026, 1, 1, 8), 2.5), (1, datetime(2026, 1, 1, 8, 5), 0.4),
+                                  (2, datetime(2026, 1, 1, 8), 0.25)], "k long, t timestamp, a double")
+    dimension = spark.createDataFrame([(1, 10.0), (2, 0.5)], "k long, c double")
+    hourly = {r.k: r for r in hourly_profile(fact, dimension, roles).collect()}
+    assert [float(x) for x in (hourly[1].mean_available, hourly[1].mean_ratio)] == [1.45, 0.145]
+    assert hourly[1].times_empty == 0 and float(hourly[2].mean_ratio) == 0.5
+    state = {r.k: r for r in current_state(fact, dimension, roles).collect()}
+    assert float(state[1].ratio) == 0.04 and not state[1].is_empty
+    assert float(state[2].ratio) == 0.5
+
+
+def test_a_late_first_arrival_is_kept(spark):
+    """Events that arrive late are new unless the table has them."""
+    stored = spark.createDataFrame([], "k long, t int")
+    for batch in ([(1, 1200), (1, 1200)], [(2, 1230)], [(3, 1000), (1, 1200), (4, 1240)]):
+        rows_ = dedup_batch(spark.createDataFrame(batch, "k long, t int"), ["k", "t"])
+        stored = stored.unionByName(insert_new(stored, rows_, ["k", "t"]))
+    assert sorted(map(tuple, stored.collect())) == [(1, 1200), (2, 1230), (3, 1000), (4, 1240)]
