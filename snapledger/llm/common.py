@@ -38,12 +38,6 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
-        """Remove tables that no later plan reads."""
-        for name in names:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
-
 
 def partitions(spark: SparkSession, rows: int, per_partition: int) -> int:
     """Enough partitions for ``rows``, and never fewer than the session shuffles into."""
