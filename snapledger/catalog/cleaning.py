@@ -17,7 +17,14 @@ from ..functions import (
     to_long_or_null,
     to_number_or_null,
 )
-from ..operators import conform, dedup_first, drop_incomplete, surrogate_key
+from ..operators import (
+    conform,
+    dedup_first,
+    drop_incomplete,
+    packed_key,
+    surrogate_key,
+    unpacked_key,
+)
 from .products import props_k
 from .registry import Tables, query
 
@@ -203,3 +210,17 @@ def surrogate_keys(tables: Tables) -> DataFrame:
     per_id = keyed.groupBy("o_orderpriority", "id").agg(F.count(F.lit(1)).alias("n"))
     return per_id.groupBy("o_orderpriority").agg(F.sum("n").alias("rows"),
                                                  F.count(F.lit(1)).alias("ids"))
+
+
+@query("packed_keys", """
+    SELECT o_orderkey, CAST(CAST(o_custkey AS HUGEINT) * 1000000000000000000
+               + epoch_us(CAST(o_orderdate AS TIMESTAMP)) + 100000000000000000 AS VARCHAR) AS id,
+           o_custkey AS number, epoch_us(CAST(o_orderdate AS TIMESTAMP)) AS micros
+    FROM orders""")
+def packed_keys(tables: Tables) -> DataFrame:
+    """Keys that hold the natural key, and the natural key taken out of them again."""
+    number, instant = unpacked_key("id")
+    keyed = tables("orders").select("o_orderkey", packed_key("o_custkey", "o_orderdate")
+                                    .alias("id"))
+    return keyed.select("o_orderkey", F.col("id").cast("string").alias("id"),
+                        number.alias("number"), F.unix_micros(instant).alias("micros"))

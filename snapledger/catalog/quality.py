@@ -21,6 +21,8 @@ from ..quality import (
 )
 from ..quality.quarantine import VIOLATIONS
 from ..quality.rules import CRITICAL, WARNING, Rule
+from ..schemas import RUNS_CONTRACT, STATION_CONTRACT
+from ..sources import explode_payload
 from .registry import Tables, query
 
 OUTCOME = ["rule_name", "column_name", "checked", "unexpected", "success"]
@@ -124,6 +126,30 @@ def rules_row_count_per_snapshot(tables: Tables) -> DataFrame:
     return evaluate(tables("lineitem"), [row_count(1, 30)], snapshot="l_shipdate").select(*OUTCOME)
 
 
+@query("rules_row_count_empty_snapshot", """
+    SELECT 'expect_table_row_count_to_be_between' AS rule_name, 'table' AS column_name,
+           CAST(sum(n) AS BIGINT) AS checked,
+           CAST(coalesce(sum(n) FILTER (n NOT BETWEEN 1 AND 3), 0) AS BIGINT) AS unexpected,
+           count(*) FILTER (n NOT BETWEEN 1 AND 3) = 0 AS success
+    FROM (SELECT count(*) FILTER (event_type = 'error') AS n FROM events GROUP BY event_id // 5)
+    UNION ALL
+    SELECT 'expect_table_row_count_to_be_between', 'table', count(*), 0, true
+    FROM events WHERE event_type = 'error'""")
+def rules_row_count_empty_snapshot(tables: Tables) -> DataFrame:
+    """Documents of the errors among five events; most of them are empty, and count as such.
+
+    Where a snapshot may be empty, the second rule holds.
+    """
+    error = F.when(F.col("event_type") == "error", F.struct(F.col("event_id").alias("id")))
+    packed = tables("events").groupBy(F.floor(F.col("event_id") / 5).alias("chunk")).agg(
+        F.collect_list(error).alias("stations"))
+    documents = packed.select("chunk", F.to_json(F.struct(F.struct("stations").alias("data")))
+                              .alias("payload"))
+    elements = explode_payload(documents, "payload", keep_empty=True)
+    return evaluate(elements, [row_count(1, 3), row_count(0, 5)], snapshot="chunk",
+                    element="pos").select(*OUTCOME)
+
+
 LINE_RULES = [
     exists("l_orderkey", reason="identifies the order"),
     not_null("l_partkey", reason="refers to the part"),
@@ -230,6 +256,60 @@ def contract_keys(tables: Tables) -> DataFrame:
         F.col("constraint").alias("constraint_name"), "violations")
 
 
+@query("contract_full", """
+    WITH runs AS (
+        SELECT CASE WHEN event_id % 11 <> 0 THEN event_type END AS dag_id,
+               repeat('r', event_id % 13 * 20) AS run_id,
+               repeat('s', user_id % 30) AS status FROM events),
+    stations AS (
+        SELECT CASE WHEN p_partkey % 7 <> 0 THEN p_partkey END AS id_station,
+               repeat('c', p_size) AS code_station,
+               CASE WHEN p_partkey % 5 <> 0 THEN p_name ELSE ' ' END AS nom,
+               CASE WHEN p_size > 10 THEN p_size - 15 END AS capacite FROM part)
+    SELECT 'pipeline_runs' AS contract, 'not_null(dag_id)' AS constraint_name,
+           count(*) FILTER (dag_id IS NULL) AS violations FROM runs
+    UNION ALL SELECT 'pipeline_runs', 'not_null(run_id)', 0
+    UNION ALL SELECT 'pipeline_runs', 'not_null(start_time)', 0
+    UNION ALL SELECT 'pipeline_runs', 'not_null(status)', 0
+    UNION ALL SELECT 'pipeline_runs', 'max_length(dag_id, 100)', 0
+    UNION ALL SELECT 'pipeline_runs', 'max_length(run_id, 200)',
+        count(*) FILTER (length(run_id) > 200) FROM runs
+    UNION ALL SELECT 'pipeline_runs', 'max_length(status, 20)',
+        count(*) FILTER (length(status) > 20) FROM runs
+    UNION ALL SELECT 'pipeline_runs', 'unique(dag_id, run_id)',
+        CAST(coalesce(sum(n), 0) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM runs GROUP BY dag_id, run_id HAVING count(*) > 1)
+    UNION ALL SELECT 'station', 'not_null(id_station)', count(*) FILTER (id_station IS NULL)
+        FROM stations
+    UNION ALL SELECT 'station', 'not_null(nom)', 0
+    UNION ALL SELECT 'station', 'not_null(capacite)', count(*) FILTER (capacite IS NULL)
+        FROM stations
+    UNION ALL SELECT 'station', 'not_blank(nom)', count(*) FILTER (trim(nom) = '') FROM stations
+    UNION ALL SELECT 'station', 'check(capacite >= 0)', count(*) FILTER (capacite < 0)
+        FROM stations
+    UNION ALL SELECT 'station', 'max_length(code_station, 30)',
+        count(*) FILTER (length(code_station) > 30) FROM stations
+    UNION ALL SELECT 'station', 'unique(id_station)', CAST(coalesce(sum(n), 0) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM stations GROUP BY id_station HAVING count(*) > 1)""")
+def contract_full(tables: Tables) -> DataFrame:
+    """Two whole contracts over rows that break nearly all of their constraints."""
+    runs = tables("events").select(
+        F.when(F.col("event_id") % 11 != 0, F.col("event_type")).alias("dag_id"),
+        F.expr("repeat('r', int(event_id % 13 * 20))").alias("run_id"),
+        F.col("ts").alias("start_time"),
+        F.expr("repeat('s', int(user_id % 30))").alias("status"))
+    stations = tables("part").select(
+        F.when(F.col("p_partkey") % 7 != 0, F.col("p_partkey")).alias("id_station"),
+        F.expr("repeat('c', int(p_size))").alias("code_station"),
+        F.when(F.col("p_partkey") % 5 != 0, F.col("p_name")).otherwise(" ").alias("nom"),
+        F.lit(0.0).alias("latitude"), F.lit(0.0).alias("longitude"),
+        F.when(F.col("p_size") > 10, F.col("p_size") - 15).alias("capacite"))
+    counts = [contract_counts(df, contract).select(
+        F.lit(contract.name).alias("contract"), F.col("constraint").alias("constraint_name"),
+        "violations") for df, contract in ((runs, RUNS_CONTRACT), (stations, STATION_CONTRACT))]
+    return counts[0].unionByName(counts[1])
+
+
 @query("duplicate_keys", """
     SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS rows
     FROM lineitem GROUP BY ALL HAVING count(*) > 1""")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from ..plans.monitoring import (
     freshness,
+    last_state,
     latest_validations,
     open_alerts_by_severity,
     recent,
     recent_open_alerts,
+    resolved,
     run_history,
 )
 from .products import props_k
@@ -70,6 +72,35 @@ def alerts_by_severity(tables: Tables) -> DataFrame:
     return open_alerts_by_severity(line_alerts(tables))
 
 
+@query("open_alerts_after_resolution", f"""
+    SELECT severity, count(*) AS open_alerts, max(detected_at) AS newest
+    FROM ({ALERTS_SQL}) WHERE severity <> 'WARNING' OR column_name = 'l_quantity'
+    GROUP BY severity""")
+def alerts_after_resolution(tables: Tables) -> DataFrame:
+    """Warnings but those on quantities have been resolved, as further rows of the log."""
+    log = line_alerts(tables)
+    closed = resolved(log.filter("severity = 'WARNING' AND column_name <> 'l_quantity'"),
+                      F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    states = last_state(log.unionByName(closed, allowMissingColumns=True),
+                        ["detected_at", "dag_id", "suite_name", "rule_name", "column_name"])
+    return open_alerts_by_severity(states)
+
+
+@query("freshness_silent_source", """
+    SELECT TIMESTAMP '2024-01-31 00:00:00' AS checked_at, source_name, last_record_time,
+           ((2 * us + 600000) // 1200000) / 100.0::DOUBLE AS delay_minutes,
+           ((2 * us + 600000) // 1200000) / 100.0 <= 1440 AS is_fresh
+    FROM (SELECT event_type AS source_name, max(ts) AS last_record_time,
+                 greatest(epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(ts)), 0) AS us
+          FROM events WHERE event_type <> 'error' OR ts < TIMESTAMP '2024-01-15 00:00:00'
+          GROUP BY event_type)""")
+def silent_freshness(tables: Tables) -> DataFrame:
+    """A source that fell silent weeks ago is judged by what is stored, not by a batch."""
+    at = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    stored = tables("events").filter("event_type <> 'error' OR ts < '2024-01-15 00:00:00'")
+    return freshness(stored, "event_type", "ts", at, threshold_minutes=1440)
+
+
 @query("latest_validation", """
     SELECT suite_name, run_time, event_id, success FROM (
         SELECT event_type AS suite_name, ts AS run_time, event_id, value >= 50 AS success,

@@ -127,6 +127,18 @@ def json_profile(tables: Tables) -> DataFrame:
     return json_key_profile(tables("events"), "props")
 
 
+@query("json_profile_damaged", """
+    SELECT CASE WHEN event_id % 10 <> 0 THEN 'k' END AS key, count(*) AS occurrences,
+           count(*) FILTER (event_id % 10 = 0) AS nulls,
+           CASE WHEN event_id % 10 <> 0 THEN 'BIGINT' ELSE 'VOID' END AS inferred_type
+    FROM events GROUP BY ALL""")
+def json_profile_damaged(tables: Tables) -> DataFrame:
+    """Every tenth object has lost its end."""
+    cut = F.expr("left(props, length(props) - 1)")
+    props = F.when(F.col("event_id") % 10 == 0, cut).otherwise(F.col("props"))
+    return json_key_profile(tables("events").select(props.alias("props")), "props")
+
+
 @query("feed_profile", f"""
     SELECT event_id // {PER_DOCUMENT} AS chunk, 'version,data' AS document_keys,
            'stations' AS parent_keys, count(*) AS element_count,

@@ -1,6 +1,6 @@
 """Generic operators: DataFrame in, DataFrame out."""
 
-from .conform import conform, surrogate_key
+from .conform import conform, packed_key, surrogate_key, unpacked_key
 from .latest import latest, latest_one
 from .merge import dedup_batch, insert_new, require_unique, upsert
 from .keys import dedup_first, drop_incomplete, duplicated_keys, orphan_keys, orphan_sample
@@ -19,5 +19,5 @@ __all__ = [
     "drop_incomplete", "duplicated_keys", "estimated_bytes", "hourly_partials",
     "hourly_profile", "insert_new", "latest", "latest_one", "network_kpis", "orphan_keys",
     "orphan_sample", "partials_to_profile", "require_unique", "roll_up",
-    "surrogate_key", "upsert",
+    "packed_key", "surrogate_key", "unpacked_key", "upsert",
 ]

@@ -35,5 +35,29 @@ def conform(df: DataFrame, schema: T.StructType,
 
 
 def surrogate_key(keys: Sequence[str]) -> Column:
-    """A repeatable 64-bit id from the natural key; needs no global sequence."""
+    """A repeatable 64-bit id from the natural key; needs no global sequence.
+
+    A hash: two keys can share an id once a table has billions of rows.  Such tables take
+    :func:`packed_key`.
+    """
     return F.xxhash64(*[F.col(k) for k in keys])
+
+
+#: Microseconds of any instant of the years 1 to 9999, moved by ``_SHIFT``, lie within 0 and this.
+_INSTANTS = 10 ** 18
+_SHIFT = 10 ** 17
+
+
+def packed_key(number: str, instant: str) -> Column:
+    """A DECIMAL(38,0) that holds a 64-bit number and an instant, so no two keys share one:
+    ``number * 10^18 + microseconds since 1970 + 10^17``."""
+    micros = F.unix_micros(F.col(instant).cast("timestamp")).cast("decimal(19,0)")
+    high = F.col(number).cast("decimal(19,0)") * F.lit(_INSTANTS).cast("decimal(19,0)")
+    return (high.cast("decimal(38,0)") + (micros + F.lit(_SHIFT))).cast("decimal(38,0)")
+
+
+def unpacked_key(key: str) -> tuple[Column, Column]:
+    """The number and the instant that a :func:`packed_key` holds."""
+    low = F.pmod(F.col(key), F.lit(_INSTANTS).cast("decimal(38,0)"))
+    number = ((F.col(key) - low) / F.lit(_INSTANTS).cast("decimal(19,0)")).cast("bigint")
+    return number, F.timestamp_micros((low - F.lit(_SHIFT)).cast("bigint"))

@@ -18,7 +18,7 @@ from ..functions import (
     to_number_or_null,
     to_text,
 )
-from ..operators.conform import conform, surrogate_key
+from ..operators.conform import conform, packed_key
 from ..operators.keys import dedup_first, drop_incomplete
 from ..operators.profiles import (
     Roles,
@@ -97,7 +97,7 @@ def build_readings(bronze: DataFrame, instant: datetime | Column) -> DataFrame:
     })
     arrival = [F.col("file").asc(), F.col("pos").asc()]
     unique = dedup_first(filled, READING_KEY, arrival)
-    return conform(unique.withColumn("id_releve", surrogate_key(READING_KEY)), READING)
+    return conform(unique.withColumn("id_releve", packed_key(*READING_KEY)), READING)
 
 
 def unreadable_counts(bronze: DataFrame) -> DataFrame:

@@ -159,7 +159,7 @@ def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: dat
     with staging(spark) as stage:
         bronze = stage_columns(stage, status, STATUS_COLUMNS)
         validate(spark, bronze, bronze_suite(settings.rows), "bronze_suite", SILVER_DAG, at, log,
-                 snapshot="file")
+                 snapshot="file", element="pos")
         station = stage(build_station(stage_columns(stage, information, INFORMATION_COLUMNS)))
         reading = stage(build_readings(bronze, file_instant() if instant is None else instant))
         validate(spark, station, station_suite(settings.rows, settings.variant),
@@ -200,6 +200,15 @@ def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame, at: date
     return count, span and first_day(span)
 
 
+def check_freshness(wh: Warehouse, at: datetime, settings: Settings = Settings()) -> None:
+    """Log the freshness of the stored readings, to be called on a timer: it needs no batch, so
+    a feed that has gone silent is reported as well.  Nothing is logged before the first reading.
+    """
+    stored = wh.current.read().withColumn("source", F.lit("station_status"))
+    wh.log.freshness(freshness(stored, "source", "derniere_collecte", at,
+                               settings.fresh_minutes))
+
+
 def run_gold(wh: Warehouse, at: datetime, settings: Settings = Settings(),
              since: date | None = None) -> tuple[int]:
     """Current state, then hourly trend, then validation that alerts but never stops.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,9 @@ from ..schemas import (
     FRESHNESS,
     FRESHNESS_CONTRACT,
     RUNS,
+    RUNS_CONTRACT,
     VALIDATIONS,
+    VALIDATIONS_CONTRACT,
 )
 from ..sources.tables import AppendTable
 
@@ -47,8 +50,9 @@ class MonitoringLog:
         return df.withColumn("id", surrogate_key(keys))
 
     def validations(self, rows: Sequence[dict]) -> None:
-        self.validation_table.append(
-            self._rows(rows, VALIDATIONS, ["run_time", "dag_id", "suite_name"]))
+        entries = self._rows(rows, VALIDATIONS, ["run_time", "dag_id", "suite_name"])
+        verify(entries, VALIDATIONS_CONTRACT)
+        self.validation_table.append(entries)
 
     def alerts(self, alerts: DataFrame) -> None:
         """All alerts of one suite run in one write."""
@@ -59,7 +63,21 @@ class MonitoringLog:
         self.alert_table.append(rows)
 
     def run(self, **row) -> None:
-        self.run_table.append(self._rows([row], RUNS, ["dag_id", "run_id", "start_time"]))
+        """One attempt.  A retried run has several; :meth:`runs` makes (dag, run) unique."""
+        entry = self._rows([row], RUNS, ["dag_id", "run_id", "start_time"])
+        verify(entry, replace(RUNS_CONTRACT, unique=()))
+        self.run_table.append(entry)
+
+    def resolve(self, alerts: DataFrame, at: datetime | Column) -> None:
+        """Close ``alerts`` (rows of :meth:`open_alerts`): each is appended once more, resolved."""
+        self.alert_table.append(conform(resolved(alerts, at), ALERTS, ALERT_DEFAULTS))
+
+    def all_alerts(self) -> DataFrame:
+        """Every alert in its last state."""
+        return last_state(self.alert_table.read())
+
+    def open_alerts(self) -> DataFrame:
+        return self.all_alerts().filter(~F.col("resolved"))
 
     def freshness(self, rows: DataFrame) -> None:
         rows = conform(rows.withColumn("id", surrogate_key(["checked_at", "source_name"])),
@@ -113,6 +131,17 @@ def latest_validations(validations: DataFrame) -> DataFrame:
     return latest(validations, ["suite_name"], "run_time")
 
 
+def resolved(alerts: DataFrame, at: datetime | Column) -> DataFrame:
+    """The same alerts, resolved at ``at``."""
+    return alerts.withColumns({"resolved": F.lit(True),
+                               "resolved_at": at if isinstance(at, Column) else F.lit(at)})
+
+
+def last_state(alerts: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
+    """One row per alert of an append-only log; a resolution outranks the alert itself."""
+    return latest_one(alerts, list(key), [F.desc("resolved"), F.asc("resolved_at")])
+
+
 def open_alerts_by_severity(alerts: DataFrame) -> DataFrame:
     return (alerts.filter(~F.col("resolved")).groupBy("severity")
             .agg(F.count(F.lit(1)).alias("open_alerts"), F.max("detected_at").alias("newest")))

@@ -46,17 +46,18 @@ def _as_rows(counted: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame
 
 
 def _aggregated(df: DataFrame, rules: Sequence[tuple[int, Rule]],
-                snapshot: str | None) -> DataFrame:
+                snapshot: str | None, element: str | None) -> DataFrame:
     """All rules that need no regrouping of the data, folded into one pass.
 
     Counters are taken per snapshot (the whole frame is one snapshot by default) and then
-    added up; a row-count rule must hold for every snapshot.
+    added up; a row-count rule must hold for every snapshot, one without elements included.
     """
     counted_rules = [(n, r) for n, r in rules if is_row_rule(r) and r.column in df.columns]
-    counters = [F.count(F.lit(1)).alias("rows")]
+    real = F.lit(True) if element is None else F.col(f"`{element}`").isNotNull()
+    counters = [F.count_if(real).alias("rows")]
     for number, rule in counted_rules:
-        counters.append(F.count_if(broken(df, rule)).alias(f"bad{number}"))
-        counters.append(F.count_if(present(df, rule.column)).alias(f"seen{number}"))
+        counters.append(F.count_if(real & broken(df, rule)).alias(f"bad{number}"))
+        counters.append(F.count_if(real & present(df, rule.column)).alias(f"seen{number}"))
     per_snapshot = df.groupBy(snapshot).agg(*counters) if snapshot else df.agg(*counters)
 
     names = [c for c in per_snapshot.columns if c != snapshot]
@@ -100,24 +101,28 @@ def _uniqueness(df: DataFrame, number: int, rule: Rule) -> DataFrame:
     return _as_rows(counted.selectExpr("*", f"bad{number} = 0 AS ok{number}"), [(number, rule)])
 
 
-def evaluate(df: DataFrame, rules: Sequence[Rule], snapshot: str | None = None) -> DataFrame:
+def evaluate(df: DataFrame, rules: Sequence[Rule], snapshot: str | None = None,
+             element: str | None = None) -> DataFrame:
     """One row per rule (schema :data:`RESULT`), lazily.
 
     ``df`` is scanned once for everything but uniqueness, which adds one aggregation on the
     column concerned.  A rule on a missing column fails; it does not raise.  ``snapshot``
-    names the column that separates snapshots when ``df`` holds several.
+    names the column that separates snapshots when ``df`` holds several.  A row whose column
+    ``element`` is null only says that its snapshot exists: no rule counts it as a row.
     """
     numbered = list(enumerate(rules, start=1))
     grouped = [(n, r) for n, r in numbered if r.kind == UNIQUE and r.column in df.columns]
     single = [pair for pair in numbered if pair not in grouped]
-    frames = [_aggregated(df, single, snapshot)] if single else []
-    frames += [_uniqueness(df, n, r) for n, r in grouped]
+    frames = [_aggregated(df, single, snapshot, element)] if single else []
+    real = df if element is None else df.filter(F.col(f"`{element}`").isNotNull())
+    frames += [_uniqueness(real, n, r) for n, r in grouped]
     return reduce(DataFrame.unionByName, frames)
 
 
-def fetch_results(df: DataFrame, rules: Sequence[Rule], snapshot: str | None = None) -> list[Row]:
+def fetch_results(df: DataFrame, rules: Sequence[Rule], snapshot: str | None = None,
+                  element: str | None = None) -> list[Row]:
     """The results on the driver: as many rows as there are rules."""
-    return sorted(evaluate(df, rules, snapshot).collect(), key=lambda r: r.rule_no)
+    return sorted(evaluate(df, rules, snapshot, element).collect(), key=lambda r: r.rule_no)
 
 
 def validation_row(results: Sequence[Row], suite: str, dag_id: str, at: datetime,
@@ -152,12 +157,13 @@ def gate(results: Sequence[Row], suite: str) -> None:
 
 def validate(spark: SparkSession, df: DataFrame, rules: Sequence[Rule], suite: str, dag_id: str,
              at: datetime, log, stop_on_critical: bool = True,
-             extra: dict | None = None, snapshot: str | None = None) -> list[Row]:
+             extra: dict | None = None, snapshot: str | None = None,
+             element: str | None = None) -> list[Row]:
     """Evaluate, save the validation row, save the alerts, and only then stop if need be.
 
     ``log`` offers ``validations(rows)`` and ``alerts(df)``; see ``plans.monitoring``.
     """
-    results = fetch_results(df, rules, snapshot)
+    results = fetch_results(df, rules, snapshot, element)
     log.validations([validation_row(results, suite, dag_id, at, extra)])
     if any(not r.success for r in results):
         log.alerts(alerts_of(spark.createDataFrame(results, RESULT), suite, dag_id, at))

@@ -53,14 +53,14 @@ STATION = _struct(
 STATION_CONTRACT = TableContract(
     name="station",
     required=["id_station", "code_station", "nom", "latitude", "longitude", "capacite"],
-    not_null=["id_station", "nom"],
+    not_null=["id_station", "nom", "capacite"],
     not_blank=["nom"],
     checks=["capacite >= 0"],
     max_length={"code_station": 30},
     unique=[["id_station"]])
 
 READING = _struct(
-    ("id_releve", _LONG, False), ("id_station", _LONG, False), ("code_station", _TEXT),
+    ("id_releve", T.DecimalType(38, 0), False), ("id_station", _LONG, False), ("code_station", _TEXT),
     ("date_collecte", _TIME, False),
     ("velos_disponibles", _INT, False), ("bornes_disponibles", _INT, False),
     ("velos_mecaniques", _INT, False), ("velos_electriques", _INT, False),
@@ -76,7 +76,7 @@ READING_CONTRACT = TableContract(
     name="releve_disponibilite",
     required=["id_station", "code_station", "date_collecte", *READING_COUNTS, *READING_FLAGS,
               "dernier_signalement"],
-    not_null=["id_station", "date_collecte"],
+    not_null=["id_station", "date_collecte", *READING_COUNTS],
     checks=[f"{c} >= 0" for c in READING_COUNTS],
     max_length={"code_station": 30},
     unique=[READING_KEY],
@@ -115,7 +115,7 @@ HOURLY_DEFAULTS = {"nb_fois_vide": 0, "nb_observations": 0}
 
 HOURLY_CONTRACT = TableContract(
     name="tendance_horaire",
-    not_null=["id_station", "nom", "heure"],
+    not_null=["id_station", "nom", "heure", "nb_fois_vide", "nb_observations"],
     checks=["heure BETWEEN 0 AND 23", "nb_observations >= 0"],
     digits={"moy_velos_disponibles": (6, 2), "moy_taux_disponibilite": (5, 3)},
     unique=[["id_station", "heure"]])
@@ -142,6 +142,18 @@ VALIDATIONS = _struct(
     ("nb_successful", _INT, False), ("nb_failed", _INT, False), ("details", _TEXT),
     ("rapport_url", _TEXT))
 
+RUNS_CONTRACT = TableContract(
+    name="pipeline_runs",
+    not_null=["dag_id", "run_id", "start_time", "status"],
+    max_length={"dag_id": 100, "run_id": 200, "status": 20},
+    unique=[["dag_id", "run_id"]])
+
+VALIDATIONS_CONTRACT = TableContract(
+    name="ge_validation_results",
+    not_null=["run_time", "dag_id", "suite_name", "success", "nb_expectations",
+              "nb_successful", "nb_failed"],
+    max_length={"dag_id": 100, "suite_name": 100})
+
 ALERTS = _struct(
     ("id", _LONG, False), ("detected_at", _TIME, False), ("dag_id", _TEXT, False),
     ("suite_name", _TEXT, False), ("column_name", _TEXT), ("rule_name", _TEXT, False),

@@ -31,10 +31,12 @@ def read_envelope(spark: SparkSession, paths: str | Sequence[str],
                   array_path: str = "data.stations", glob: str = "*.json") -> DataFrame:
     """``file, file_time, pos, entity`` for every element of every document under ``paths``.
 
-    One document is one record and one task's work at a time: parallelism comes from the
+    A document whose array is empty leaves one row with null ``pos`` and ``entity``, so that a
+    snapshot without elements can be told from no snapshot.  One document is one record and one task's work at a time: parallelism comes from the
     number of documents.  A damaged document fails the read.
     """
-    return explode_payload(_documents(spark.read, paths, glob), "payload", array_path)
+    return explode_payload(_documents(spark.read, paths, glob), "payload", array_path,
+                           keep_empty=True)
 
 
 def stream_envelope(spark: SparkSession, path: str, array_path: str = "data.stations",
@@ -43,7 +45,8 @@ def stream_envelope(spark: SparkSession, path: str, array_path: str = "data.stat
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return explode_payload(_documents(reader, path, glob), "payload", array_path)
+    return explode_payload(_documents(reader, path, glob), "payload", array_path,
+                           keep_empty=True)
 
 
 def _documents(reader, paths: str | Sequence[str], glob: str) -> DataFrame:
@@ -59,17 +62,20 @@ def _documents(reader, paths: str | Sequence[str], glob: str) -> DataFrame:
                         F.col("value").alias("payload"))
 
 
-def explode_payload(df: DataFrame, payload: str, array_path: str = "data.stations") -> DataFrame:
+def explode_payload(df: DataFrame, payload: str, array_path: str = "data.stations",
+                    keep_empty: bool = False) -> DataFrame:
     """Elements of the documents held in a text column; the other columns are kept.
 
-    A document without the array is an error, not an empty snapshot.
+    A document without the array is an error, not an empty snapshot.  With ``keep_empty`` an
+    empty snapshot leaves one row with null ``pos`` and ``entity``.
     """
     origin = [c for c in df.columns if c != payload]
     parsed = df.select(*origin, F.from_json(payload, _document_type(array_path),
                                             {"mode": "FAILFAST"}).alias("document"))
     missing = F.raise_error(F.lit(f"document without {array_path}")).cast(T.ArrayType(ENTITY))
     elements = F.coalesce(F.col(f"document.{array_path}"), missing)
-    return parsed.select(*origin, F.posexplode(elements).alias("pos", "entity"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    return parsed.select(*origin, explode(elements).alias("pos", "entity"))
 
 
 def present_columns(df: DataFrame, expected: Sequence[str], entity: str = "entity") -> list[str]:

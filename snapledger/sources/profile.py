@@ -9,7 +9,10 @@ from .envelope import explode_payload
 
 
 def feed_profile(df: DataFrame, payload: str, array_path: str = "data.stations") -> DataFrame:
-    """Per document: its keys, the keys of the array's parent, element count, first element."""
+    """Per document: its keys, the keys of the array's parent, element count, first element.
+
+    The count is NULL, not 0, where the array is missing or the document cannot be read.
+    """
     parent, _, _ = array_path.rpartition(".")
     others = [c for c in df.columns if c != payload]
     text = F.col(payload)
@@ -19,7 +22,7 @@ def feed_profile(df: DataFrame, payload: str, array_path: str = "data.stations")
         F.json_object_keys(text).alias("document_keys"),
         F.json_object_keys(F.get_json_object(text, f"$.{parent}") if parent else text)
         .alias("parent_keys"),
-        F.coalesce(F.json_array_length(elements), F.lit(0)).alias("element_count"),
+        F.json_array_length(elements).alias("element_count"),
         F.get_json_object(text, f"$.{array_path}[0]").alias("first_element"))
 
 
@@ -31,9 +34,17 @@ def element_profile(df: DataFrame, payload: str, array_path: str = "data.station
 
 
 def json_key_profile(df: DataFrame, column: str) -> DataFrame:
-    """The same summary for a column that holds one flat JSON object per row."""
-    parsed = df.select(F.from_json(column, "map<string,string>").alias("entity"))
-    return _summarise(parsed.select(F.explode("entity").alias("key", "text")))
+    """The same summary for a column that holds one flat JSON object per row.
+
+    Texts that cannot be read as an object are counted in a row whose key is NULL.
+    """
+    parsed = df.filter(F.col(column).isNotNull()).select(
+        F.from_json(column, "map<string,string>").alias("entity"))
+    damaged = F.col("entity").isNull()
+    fields = parsed.select(damaged.alias("damaged"),
+                           F.explode_outer("entity").alias("key", "text"))
+    # An empty object has neither a key nor damage.
+    return _summarise(fields.filter(F.col("key").isNotNull() | F.col("damaged")))
 
 
 def _summarise(fields: DataFrame) -> DataFrame:
