@@ -21,6 +21,8 @@ from .common import pieces
 
 #: The sample that a dictionary is made of: documents of a language, characters of each, bytes.
 SAMPLE, SAMPLE_CHARS, DICTIONARY = 400, 2_000, 1 << 16
+#: Slices of a language that its sample is chosen from.
+SLICES = 64
 #: Bytes that are compressed at once, and the level.
 BLOCK, LEVEL = 4096, 5
 #: Texts whose runner-up is less than this share larger are rejected.
@@ -43,9 +45,16 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     """
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()
                              & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # Ranked in slices first: the task of a language gets SAMPLE * SLICES rows at most, however
+    # many partitions its documents come from.
+    sliced = Window.partitionBy("lang", "slice").orderBy(*order)
+    whole = Window.partitionBy("lang").orderBy(*order)
     chosen = (usable.select("lang", "doc_id").distinct()
-              .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= SAMPLE))
+              .withColumn("slice", F.pmod(F.hash("doc_id"), F.lit(SLICES)))
+              .withColumn("nth", F.row_number().over(sliced)).filter(F.col("nth") <= SAMPLE)
+              .withColumn("nth", F.row_number().over(whole)).filter(F.col("nth") <= SAMPLE)
+              .drop("slice"))
     rows = (usable.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"))
             .join(F.broadcast(chosen), ["lang", "doc_id"]).distinct()
             .orderBy("lang", "nth", "t").select("lang", "t").collect())
