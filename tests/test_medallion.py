@@ -117,6 +117,30 @@ def test_monitoring(loaded):
         [(Decimal("1.00"), True)] * 2
 
 
+def test_empty_snapshot_stops_the_run(spark, tmp_path):
+    """One full and one empty status document."""
+    write(tmp_path, "information", "20260101_080000", STATIONS)
+    write(tmp_path, "status", "20260101_080000", STATUS_1)
+    write(tmp_path, "status", "20260101_080500", [])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    with pytest.raises(QualityGateError):
+        run_batch(wh, read_envelope(spark, f"{tmp_path}/information"),
+                  read_envelope(spark, f"{tmp_path}/status"), at(8, 6), SETTINGS)
+    assert wh.reading.read().count() == 0
+    assert wh.log.open_alerts().count() == 1
+    wh.log.resolve(wh.log.open_alerts(), at(9))
+    assert wh.log.open_alerts().count() == 0
+    assert rows(wh.log.all_alerts(), "resolved") == [(True,)]
+
+
+def test_silent_feed_is_reported(spark, tmp_path):
+    wh, run = single(spark, tmp_path, STATIONS, STATUS_1)
+    run()
+    medallion.check_freshness(wh, at(12), SETTINGS)
+    assert rows(wh.log.freshness_table.read(), "delay_minutes", "is_fresh") == [
+        (Decimal("1.00"), True), (Decimal("240.00"), False)]
+
+
 def test_replay_changes_nothing(loaded):
     folder, wh = loaded
     before = contents(wh)

@@ -25,7 +25,9 @@ from snapledger.operators import (
     orphan_sample,
     partials_to_profile,
     require_unique,
+    packed_key,
     surrogate_key,
+    unpacked_key,
     upsert,
 )
 from snapledger.operators.merge import DuplicateKeys
@@ -190,6 +192,19 @@ def test_surrogate_key_is_repeatable(spark):
     assert ids.count() == ids.select("i").distinct().count() == 70
 
 
+def test_packed_key_gives_the_key_back(spark):
+    keys = [(k, t) for k in (0, 1, -1, 2**63 - 1, -2**63) for t in (
+        "0001-01-01 00:00:00", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00",
+        "2026-01-01 08:05:00.000001", "9999-12-31 23:59:59.999999")]
+    df = spark.createDataFrame(keys, "k long, s string").select(
+        "k", F.col("s").cast("timestamp").alias("t"))
+    number, instant = unpacked_key("i")
+    back = df.select("k", "t", packed_key("k", "t").alias("i")).select(
+        "i", (number == F.col("k")).alias("k"), (instant == F.col("t")).alias("t"))
+    assert back.select("i").distinct().count() == len(keys)
+    assert back.filter("k AND t").count() == len(keys)
+
+
 READINGS = "k long, ts timestamp, v int, f int"
 ROLES = Roles(key="k", ts="ts", available="v", capacity="cap", free="f", label="n")
 

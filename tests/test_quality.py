@@ -168,3 +168,13 @@ def test_quarantine_splits_without_loss(df):
     assert {tuple(r._violations) for r in rejected(marked).collect()} == {
         ("expect_column_values_to_be_between(d)", "expect_column_values_to_be_in_set(s)"),
         ("expect_column_values_to_not_be_null(id)", "expect_column_values_to_be_between(d)")}
+
+
+def test_empty_snapshot_breaks_the_row_count(spark):
+    df = spark.createDataFrame([("a", 0, 1), ("a", 1, 1), ("b", None, None)],
+                               "file string, pos int, v int")
+    rules = [row_count(1, 5), not_null("v"), unique("v"), exists("v")]
+    got = [(r.checked, r.unexpected, r.success)
+           for r in fetch_results(df, rules, snapshot="file", element="pos")]
+    assert got == [(2, 0, False), (2, 0, True), (2, 2, False), (2, 0, True)]
+    assert fetch_results(df, [row_count(0, 5)], snapshot="file", element="pos")[0].success

@@ -33,6 +33,13 @@ def test_envelope(spark, tmp_path):
     assert rows(first, "pos", "station_id", "lat", "capacity") == [(0, "101", "48.86", "16")]
 
 
+def test_empty_document_leaves_a_row(spark, tmp_path):
+    write(tmp_path, "s", "1", [])
+    write(tmp_path, "s", "2", [{"a": 1}])
+    df = entity_columns(read_envelope(spark, str(tmp_path)), ["a"])
+    assert rows(df, "pos", "a") == [(0, "1"), (None, None)]
+
+
 def test_nested_values_arrive_as_text_and_booleans_too(spark, tmp_path):
     write(tmp_path, "s", "1", [{"a": [{"x": 1}, 5], "b": True, "c": None, "d": "é\n"}])
     df = entity_columns(read_envelope(spark, str(tmp_path)), ["a", "b", "c", "d"])
@@ -106,3 +113,13 @@ def test_profiles(spark):
     flat = spark.createDataFrame([('{"k": 1}',), ('{"k": null, "z": "a"}',)], "p string")
     assert rows(json_key_profile(flat, "p"), "key", "occurrences", "nulls") == [
         ("k", 2, 1), ("z", 1, 0)]
+
+
+def test_profiles_count_what_cannot_be_read(spark):
+    flat = spark.createDataFrame(
+        [('{"k": 1}',), ('{"k": ',), ("[1]",), ("{}",), (None,), ("",)], "p string")
+    got = {r.key: r for r in json_key_profile(flat, "p").collect()}
+    assert set(got) == {"k", None}
+    assert (got["k"].occurrences, got[None].occurrences) == (1, 3)
+    documents = spark.createDataFrame([('{"data": {}}',), ('{"data',)], "d string")
+    assert rows(feed_profile(documents, "d"), "element_count") == [(None,), (None,)]
