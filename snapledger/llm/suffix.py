@@ -12,10 +12,13 @@ sorted, and every window is settled by the anchor that owns it:
    all but the first are repeats.  A token with several different stretches, the edge of a
    repeat, goes on, and so do the tokens at a bucket's ends.
 2. For those, the stretch itself is fetched and range-partitioned by the token; a bucket
-   expands it into windows and sorts them by multikey quicksort on eight-byte tokens.
-3. Windows of tokens at a bucket's ends, the first of each kind in its bucket, are compared
-   across boundaries: they are range-partitioned by themselves, and a bucket's first window is
-   compared with the last one of the bucket before it.
+   expands it into windows and sorts them by multikey quicksort on eight-byte tokens.  A token
+   that fits a bucket is never cut.  The stretches of one that does not are divided into runs
+   of ``RUN`` neighbouring windows and sorted by token and core, the bytes that all windows of
+   a run share; equal windows have equal cores, so text of its own parts a hot token's rows.
+3. Windows of cores that a bucket's end may cut, the first of each kind in its bucket, are
+   compared across boundaries: they are range-partitioned by themselves, and a bucket's first
+   window is compared with the last one of the bucket before it.
 
 Equality of stretches in step 1 rests on two independent 64-bit hashes and their lengths, in
 step 3 on eight bytes of text and a 64-bit hash, in step 2 on the bytes.
@@ -35,6 +38,8 @@ from pyspark.sql import types as T
 from .common import Scratch, column, partitions, pieces, texts, whole
 
 LENGTH, GRAM = 100, 24
+#: Neighbouring windows that a hot token's stretch is divided into; 77 may hold one anchor.
+RUN = 11
 #: Rows of a bucket, and bytes of text that are worked on at once.
 BUCKET, BLOCK, CHUNK = 600_000, 1 << 17, 1 << 20
 
@@ -181,21 +186,42 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _spans(EDGE, token[edge], doc[edge], tie[edge], span[edge])
 
 
+def _divide(row, token, span, heavy) -> tuple[np.ndarray, ...]:
+    """Stretches, those of heavy tokens by runs of windows with as many bytes before the anchor:
+    row, token, part, place of its core or -1."""
+    lo, more, offset = span >> 14, span >> 7 & 127, span & 127
+    least = offset - more
+    runs = np.where(heavy, offset // RUN - least // RUN + 1, 1)
+    k = np.repeat(np.arange(len(span)), runs)
+    run = least[k] // RUN + np.arange(len(k)) - np.repeat(np.cumsum(runs) - runs, runs)
+    cut = heavy[k]
+    before = np.where(cut, np.minimum(offset[k], run * RUN + RUN - 1), offset[k])
+    after = np.where(cut, np.maximum(least[k], run * RUN), least[k])
+    anchor = lo[k] + offset[k]
+    part = (anchor - before) << 14 | (before - after) << 7 | before
+    return row[k], token[k], part, np.where(cut, anchor - run * RUN, -1)
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each edge's stretch."""
+    """The bytes of each edge's stretch, and the core of each run of a heavy token."""
     for batch in pieces(batches, "text"):
         raw = texts(batch.column("text"))
         edges = batch.column("edges")
         counts = np.diff(edges.offsets.to_numpy())
         flat = edges.flatten()
         token, span = (flat.field(c).to_numpy() for c in ("token", "span"))
-        row = np.repeat(np.arange(len(raw)), counts)
+        heavy = flat.field("heavy").to_numpy(zero_copy_only=False)
+        row, token, span, place = _divide(
+            np.repeat(np.arange(len(raw)), counts), token, span, heavy)
         lo, n = span >> 14, (span >> 7 & 127) + LENGTH
         bodies = [raw[r][a:a + b] for r, a, b in zip(row.tolist(), lo.tolist(), n.tolist())]
+        cores = [None if p < 0 else raw[r][p:p + LENGTH - RUN + 1]
+                 for r, p in zip(row.tolist(), place.tolist())]
         yield pa.RecordBatch.from_arrays(
             [pa.array(token), batch.column("doc").take(pa.array(row)),
-             batch.column("tie").take(pa.array(row)), pa.array(span), pa.array(bodies, pa.binary())],
-            names=["token", "doc", "tie", "span", "body"])
+             batch.column("tie").take(pa.array(row)), pa.array(span),
+             pa.array(bodies, pa.binary()), pa.array(cores, pa.binary())],
+            names=["token", "doc", "tie", "span", "body", "core"])
 
 
 def _big_endian(data: np.ndarray) -> np.ndarray:
@@ -241,27 +267,30 @@ def _windows(span: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2 in a bucket; of the tokens at its ends, windows that are new here are handed on."""
+    """Step 2 in a bucket; of the cores at its ends, windows that are new here are handed on."""
     table = whole(batches)
     if table is None:
         return
-    token, doc, tie, span = (column(table, c) for c in ("token", "doc", "tie", "span"))
+    token, core, doc, tie, span = (column(table, c)
+                                   for c in ("token", "core", "doc", "tie", "span"))
+    heavy = table.column("heavy").to_numpy()
     bodies = table.column("body").combine_chunks()
-    order = np.lexsort((span, tie, doc, token))
-    order = order[_fresh(token[order], doc[order], tie[order], span[order])]
-    token, doc, tie, span = (c[order] for c in (token, doc, tie, span))
-    ends = (token == token[0]) | (token == token[-1])
+    order = np.lexsort((span, tie, doc, core, token))
+    order = order[_fresh(*(c[order] for c in (token, core, doc, tie, span)))]
+    token, core, doc, tie, span, heavy = (c[order] for c in (token, core, doc, tie, span, heavy))
+    group = np.cumsum(_fresh(token, core))
+    ends = heavy & ((group == group[0]) | (group == group[-1]))
     at = 0
-    while at < len(token):
-        stop = min(at + 20_000, len(token))
-        stop = int(np.searchsorted(token, token[stop - 1], side="right"))
+    while at < len(group):
+        stop = min(at + 20_000, len(group))
+        stop = int(np.searchsorted(group, group[stop - 1], side="right"))
         part = slice(at, stop)
         raw = texts(bodies.take(pa.array(order[part])))
         words = _big_endian(np.frombuffer(b"".join(raw), dtype=np.uint8))
         begin = np.cumsum([0, *map(len, raw)])[:-1]
         row, nth, place = _windows(span[part], begin)
         lo = span[part] >> 14
-        found = repeats(words, place, token[part][row])
+        found = repeats(words, place, group[part][row])
         hit = np.flatnonzero(found)
         if len(hit):
             start = np.concatenate([[True], (row[hit][1:] != row[hit][:-1])
@@ -373,12 +402,19 @@ def remove_repeats(documents: DataFrame, carry: Sequence[str] = ("doc_id",),
 
     edges = marks.filter(F.col("kind") == EDGE)
     n_edges = edges.count()
-    grouped = edges.groupBy("doc", "tie").agg(
-        F.collect_set(F.struct("token", "span")).alias("edges"))
+    buckets = partitions(spark, n_edges, BUCKET // 4)
+    # Tokens that an even share of the edges cannot hold: fewer than there are buckets.
+    hot = edges.groupBy("token").count().filter(F.col("count") * buckets > n_edges).select(
+        "token", F.lit(True).alias("heavy"))
+    grouped = edges.join(F.broadcast(hot), "token", "left").groupBy("doc", "tie").agg(
+        F.collect_set(F.struct("token", "span", F.coalesce("heavy", F.lit(False)).alias("heavy")))
+        .alias("edges"))
     bodies = keyed.join(grouped, ["doc", "tie"]).mapInArrow(
-        _fetch, f"token long, {_KEYS}, body binary")
-    inner = scratch.keep(bodies.repartitionByRange(
-        partitions(spark, n_edges, BUCKET // 4), "token", "doc", "tie", "span").mapInArrow(
+        _fetch, f"token long, {_KEYS}, body binary, core binary").select(
+        "token", "doc", "tie", "span", "body", F.xxhash64("core").alias("core"),
+        F.col("core").isNotNull().alias("heavy"))
+    spread = F.when(F.col("heavy"), F.xxhash64("doc", "tie", "span"))
+    inner = scratch.keep(bodies.repartitionByRange(buckets, "token", "core", spread).mapInArrow(
         _compare, _WINDOW), "inner")
 
     open_windows = inner.filter(F.col("kind") == EDGE)
