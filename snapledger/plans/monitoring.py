@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import mean_half_up
 from ..operators.conform import conform, surrogate_key
 from ..operators.latest import latest, latest_one
+from ..operators.merge import insert_new
 from ..quality.contract import verify
 from ..schemas import (
     ALERT_DEFAULTS,
@@ -31,7 +32,13 @@ FRESH_MINUTES = 15
 
 
 class MonitoringLog:
-    """The four append-only logs, each partitioned by day."""
+    """The four append-only logs, each partitioned by day.
+
+    While ``repeated`` is set, as for a batch that is offered again, entries whose id is stored
+    are not appended a second time.
+    """
+
+    repeated = False
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -49,10 +56,16 @@ class MonitoringLog:
             [tuple(r.get(f.name) for f in given) for r in rows], type(schema)(given))
         return df.withColumn("id", surrogate_key(keys))
 
+    def _append(self, table: AppendTable, entries: DataFrame) -> None:
+        if self.repeated:
+            stored = table.read_span(table.span_of(entries))
+            entries = insert_new(stored, entries, ["id"])
+        table.append(entries)
+
     def validations(self, rows: Sequence[dict]) -> None:
         entries = self._rows(rows, VALIDATIONS, ["run_time", "dag_id", "suite_name"])
         verify(entries, VALIDATIONS_CONTRACT)
-        self.validation_table.append(entries)
+        self._append(self.validation_table, entries)
 
     def alerts(self, alerts: DataFrame) -> None:
         """All alerts of one suite run in one write."""
@@ -60,12 +73,16 @@ class MonitoringLog:
             ["detected_at", "dag_id", "suite_name", "rule_name", "column_name"]))
         rows = conform(keyed, ALERTS, ALERT_DEFAULTS)
         verify(rows, ALERTS_CONTRACT)
-        self.alert_table.append(rows)
+        self._append(self.alert_table, rows)
 
     def run(self, **row) -> None:
-        """One attempt.  A retried run has several; :meth:`runs` makes (dag, run) unique."""
+        """One attempt.  A retried run may have several; :meth:`runs` makes (dag, run) unique.
+        While ``repeated`` is set, a run that has succeeded is not logged again."""
         entry = self._rows([row], RUNS, ["dag_id", "run_id", "start_time"])
         verify(entry, replace(RUNS_CONTRACT, unique=()))
+        if self.repeated:
+            done = self.run_table.read().filter("status = 'success'")
+            entry = insert_new(done, entry, ["dag_id", "run_id"])
         self.run_table.append(entry)
 
     def resolve(self, alerts: DataFrame, at: datetime | Column) -> None:
@@ -83,7 +100,7 @@ class MonitoringLog:
         rows = conform(rows.withColumn("id", surrogate_key(["checked_at", "source_name"])),
                        FRESHNESS)
         verify(rows, FRESHNESS_CONTRACT)
-        self.freshness_table.append(rows)
+        self._append(self.freshness_table, rows)
 
     def runs(self) -> DataFrame:
         """One row per (dag, run): a retried run shows its last attempt."""

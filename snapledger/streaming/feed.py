@@ -1,15 +1,16 @@
 """File-source stream that drives the batch run once per micro-batch.
 
 One query is one active run.  The checkpoint remembers which documents were consumed; a
-batch that failed is offered again with the same id and files, and every step it repeats is
-keyed, so it changes nothing twice.
+batch that failed is offered again with the same id and files.  It keeps the instant of its
+first attempt, every step it repeats is keyed, and what it has logged is not logged again, so
+it changes nothing twice.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +19,23 @@ from ..sources.envelope import read_envelope, stream_envelope
 from ..sources.landing import latest_file
 
 
+def first_attempt(spark: SparkSession, checkpoint: str, batch_id: int) -> tuple[datetime, bool]:
+    """When the batch was first offered, and whether it was before now.
+
+    An empty file below the checkpoint marks the first attempt; its own time is the instant.
+    The mark of the batch before is removed, as that one is committed.
+    """
+    def path(number: int):
+        return spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/attempts/{number}")
+
+    mark = path(batch_id)
+    fs = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    repeated = not fs.createNewFile(mark)
+    fs.delete(path(batch_id - 1), False)
+    millis = fs.getFileStatus(mark).getModificationTime()
+    return datetime.fromtimestamp(millis / 1000, timezone.utc), repeated
+
+
 def start_feed(wh: Warehouse, information_path: str, status_path: str, checkpoint: str,
                settings: Settings = Settings(), glob: str = "*.json", latest_only: bool = False,
                max_files: int | None = None, interval: str | None = None) -> StreamingQuery:
@@ -36,7 +54,11 @@ def start_feed(wh: Warehouse, information_path: str, status_path: str, checkpoin
                 return
             batch = batch.filter(F.col("file") == newest.file)
         information = read_envelope(spark, latest_file(spark, information_path, glob), glob=glob)
-        run_batch(wh, information, batch, datetime.now(timezone.utc), settings)
+        at, wh.log.repeated = first_attempt(spark, checkpoint, batch_id)
+        try:
+            run_batch(wh, information, batch, at, settings)
+        finally:
+            wh.log.repeated = False
 
     writer = (stream_envelope(spark, status_path, glob=glob, max_files=max_files)
               .writeStream.foreachBatch(consume).option("checkpointLocation", checkpoint))

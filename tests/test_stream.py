@@ -58,7 +58,20 @@ def test_a_failed_batch_is_repeated_without_effect(spark, feed, monkeypatch):
         with pytest.raises(StreamingQueryException):
             drain(wh, feed)
     assert wh.reading.read().count() == 4  # silver was done before gold failed
+    silver = (rows(wh.log.validation_table.read()), rows(wh.log.freshness_table.read()),
+              rows(wh.log.alert_table.read()))
     drain(wh, feed)
+    validations = wh.log.validation_table.read()
+    assert (rows(validations.filter("suite_name <> 'gold_suite'")),
+            rows(wh.log.freshness_table.read())) == silver[:2]
+    assert validations.count() == len(silver[0]) + 1
+    alerts = wh.log.alert_table.read()
+    assert rows(alerts.filter("suite_name <> 'gold_suite'")) == silver[2]
+    assert alerts.count() == alerts.select("id").distinct().count()
+    attempts = wh.log.run_table.read()
+    assert sorted((r.dag_id == medallion.GOLD_DAG, r.status) for r in attempts.collect()) == [
+        (False, "success"), (True, "failed"), (True, "success")]
+    assert attempts.select("run_id").distinct().count() == 1
     run_batch(whole, read_envelope(spark, f"{feed}/information"),
               read_envelope(spark, f"{feed}/status"), at(9), SETTINGS)
     assert contents(wh) == contents(whole)
