@@ -96,3 +96,23 @@ def test_long_text_is_cut_without_loss(spark, monkeypatch):
         for t, a, n in zip(text, first, more):
             windows += range(offsets[t] + a, offsets[t] + a + n + 1)
     assert sorted(windows) == list(range(5000 - LENGTH + 1))
+
+
+def test_divided_stretches_hold_every_window_once():
+    """Runs of a hot token's stretch part its windows, and each holds its core."""
+    rng = np.random.default_rng(5)
+    offset = rng.integers(0, 77, 300)
+    more = np.array([rng.integers(0, o + 1) for o in offset])
+    lo = rng.integers(0, 5000, 300)
+    heavy = rng.random(300) < 0.7
+    rows = np.arange(300)
+    row, _, part, core = suffix._divide(rows, rows, lo << 14 | more << 7 | offset, heavy)
+    begin, count, before = part >> 14, (part >> 7 & 127) + 1, part & 127
+    windows = [(r, w) for r, b, n in zip(row, begin, count) for w in range(b, b + n)]
+    assert sorted(windows) == [(r, w) for r in rows for w in range(lo[r], lo[r] + more[r] + 1)]
+    assert ((begin + before) == (lo + offset)[row]).all()  # the anchor stays where it is
+    cut = core >= 0
+    assert (cut == heavy[row]).all()
+    last = begin + count - 1
+    assert (core[cut] >= last[cut]).all()
+    assert (core[cut] + LENGTH - suffix.RUN + 1 <= begin[cut] + LENGTH).all()
