@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, simhash, suffix
+from . import bpe, decontam, jaccard, langid, suffix
 from .common import held_out, ready
 
 #: Columns of documents; others do not pass through the pipeline.
@@ -23,12 +23,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group.  Rows that repeat an id are one
-    document; those without an id stay if their group has none."""
+    """The document with the smallest id of each group of texts that share at least four fifths
+    of their five-word shingles.  Rows that repeat an id are one document; those without an id
+    stay if their group has none."""
     ready(spark)
-    found = simhash.near_duplicates(docs)
-    first = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("first")).distinct())
+    first = jaccard.near_duplicates(docs, ["doc_id", "text"]).distinct()
     return docs.select(COLUMNS).join(
         first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
 
