@@ -23,13 +23,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of texts that share at least four fifths
-    of their five-word shingles.  Rows that repeat an id are one document; those without an id
-    stay if their group has none."""
+    """One row of each group of texts that share at least four fifths of their five-word
+    shingles: that with the smallest id, one without an id only if its group has no other."""
     ready(spark)
-    first = jaccard.near_duplicates(docs, ["doc_id", "text"]).distinct()
-    return docs.select(COLUMNS).join(
-        first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    return jaccard.first_rows(docs, COLUMNS).select(COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,6 +84,19 @@ def test_crowded_keys(spark, monkeypatch):
     assert [d for d, _ in kept(spark, rows)] == [rows[i][0] for i in range(len(rows)) if roots[i] == i]
 
 
+def test_one_row_of_each_group(spark):
+    """Repeated rows, an id in two groups, and rows without an id."""
+    a, b, c, d = (prose(k, 80) for k in (3, 4, 7, 11))
+    rows = [(1, a), (1, a), (5, a), (0, b), (5, b), (5, c), (5, c), (None, a), (None, c), (None, d),
+            (None, d), (2, None), (3, " "), (None, "")]
+    docs = documents(spark, rows).selectExpr("*", "cast(length(text) as long) n_chars").repartition(3)
+    found = stages.near_duplicates(spark, docs, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(
+        [(1, a), (0, b), (5, c), (None, d), (2, None)], key=str)
+    named = jaccard.first_rows(docs, stages.COLUMNS).collect()
+    assert len({r.root for r in named}) == len(named) == 5
+
+
 def test_connected_agrees_with_all_pairs():
     rng = np.random.default_rng(5)
     sets = []
