@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import pieces
 
-#: The labelled sample that the model is fitted on: documents, and bytes of one at most.
+#: The labelled sample that the model is fitted on: documents, and bytes of the lines of one.
 SAMPLE, SAMPLE_BYTES = 4_000, 6_000
 #: Steps of Adam, its rate, and the weight of the Gaussian prior.
 STEPS, RATE, PRIOR = 150, 0.08, 1e-3
@@ -160,9 +160,24 @@ class Model:
         return np.clip(np.where(whole > 0, part / np.maximum(whole, 1), 0.0), 0.0, 1.0)
 
 
+def run_of(length: np.ndarray, code: int, limit: int = SAMPLE_BYTES) -> slice:
+    """Lines in a row of at most ``limit`` bytes (at least one) around the place that ``code``
+    chooses; all if they are no more."""
+    end = np.cumsum(length)
+    if not len(length) or end[-1] <= limit:
+        return slice(0, len(length))
+    begin = end - length
+    first = int(np.searchsorted(begin, code % int(end[-1]), "right")) - 1
+    stop = max(first + 1, int(np.searchsorted(end, begin[first] + limit, "right")))
+    return slice(min(first, int(np.searchsorted(begin, end[stop - 1] - limit))), stop)
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Maximum a posteriori fit; every line of a labelled document carries its label."""
-    found = lines(texts)
+    return fit_lines(lines(texts), labels)
+
+
+def fit_lines(found: Lines, labels: list[int]) -> Model:
     width = found.features.shape[1]
     if not len(found.length) or len(set(labels)) < 2:
         bias = 5.0 if labels and min(labels) == 1 else -5.0 if labels else 0.0
@@ -204,19 +219,39 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     return Model(mean, scale, theta[:width], float(theta[width]), theta[width + 1:].reshape(2, 2))
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features and lengths of the lines that each text is learned from."""
+    for batch in pieces(batches, "text", 1 << 21):
+        found = [lines([t]) for t in batch.column("text").to_pylist()]
+        cuts = [run_of(x.length, c) for x, c in zip(found, batch.column("code").to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("code"), batch.column("quality"),
+             pa.array([x.features[c].tobytes() for x, c in zip(found, cuts)], pa.binary()),
+             pa.array([x.length[c].tobytes() for x, c in zip(found, cuts)], pa.binary())],
+            names=["doc_id", "code", "quality", "features", "length"])
+
+
 def learn(documents: DataFrame, labels: DataFrame) -> Model:
-    """Fit on at most ``SAMPLE`` labelled documents, those with the smallest hash of their id
-    among texts of at most ``SAMPLE_BYTES`` bytes.  Null ids, labels and texts are left out;
-    of several labels of a document the smallest counts."""
+    """Fit on at most ``SAMPLE`` labelled documents, those with the smallest hash of their id.
+    Of a document whose lines have more than ``SAMPLE_BYTES`` bytes, a run of lines around a
+    place chosen by hash is used, with the features that they have in the whole text.  Null ids,
+    labels and texts are left out; of several labels of a document the smallest counts."""
     marked = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
               .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    short = documents.filter(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id")
-    chosen = (short.join(marked, "doc_id").distinct()
+    usable = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
+    chosen = (usable.select("doc_id").join(marked, "doc_id").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
-    rows = (documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .filter(F.octet_length("text") <= SAMPLE_BYTES)
-            .distinct().orderBy("doc_id", "text").collect())
-    return fit([r.text for r in rows], [int(r.quality) for r in rows])
+    texts = usable.join(F.broadcast(chosen), "doc_id").select(
+        "doc_id", F.col("quality").cast("int").alias("quality"), "text",
+        F.xxhash64("doc_id", "text").alias("code")).distinct()
+    rows = texts.mapInArrow(
+        _runs, "doc_id long, code long, quality int, features binary, length binary"
+        ).orderBy("doc_id", "code").collect()
+    length = [np.frombuffer(r.length) for r in rows]
+    found = Lines(np.frombuffer(b"".join(r.features for r in rows)).reshape(-1, WIDTH),
+                  np.concatenate([np.zeros(0), *length]),
+                  np.cumsum([len(x) for x in length], dtype=np.int64))
+    return fit_lines(found, [r.quality for r in rows])
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
