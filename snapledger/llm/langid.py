@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from .common import pieces
 
-#: The sample that a dictionary is made of: documents of a language, characters of each, bytes.
+#: The sample that a dictionary is made of: documents of a language, characters that are read of
+#: each, bytes of the dictionary.
 SAMPLE, SAMPLE_CHARS, DICTIONARY = 400, 2_000, 1 << 16
 #: Slices of a language that its sample is chosen from.
 SLICES = 64
@@ -36,12 +37,28 @@ def normal(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(_LETTERS).split())
 
 
+def dictionary(samples: list[tuple[bytes, int]], size: int = DICTIONARY) -> bytes:
+    """Even shares of the texts, each from the place that its number chooses."""
+    left, share = size, [0] * len(samples)
+    order = sorted(range(len(samples)), key=lambda k: len(samples[k][0]))
+    for at, k in enumerate(order):
+        share[k] = min(len(samples[k][0]) + 1, left // (len(samples) - at))
+        left -= share[k]
+    out = []
+    for (text, code), n in zip(samples, share):
+        place = code % (len(text) - n + 2) if n else 0
+        out.append((text[place:place + n - 1] + b" ")[:n])
+    return b"".join(out)
+
+
 def learn(labelled: DataFrame) -> dict[str, bytes]:
     """A dictionary for each language of ``labelled`` (doc_id, text, lang).
 
     At most ``SAMPLE`` documents of a language are used, those with the smallest hash of their
-    id, and ``SAMPLE_CHARS`` characters of each; rows without text or lang are not.  The sample
-    is chosen by id and language alone, so texts are read for the chosen documents only.
+    id; rows without text or lang are not.  The bytes of the dictionary are shared out evenly
+    among them, what short texts leave to the others, and a longer text gives a stretch at a
+    place chosen by hash.  The sample is chosen by id and language alone, so texts are read for
+    the chosen documents only.
     """
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()
                              & F.col("doc_id").isNotNull())
@@ -55,15 +72,16 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
               .withColumn("nth", F.row_number().over(sliced)).filter(F.col("nth") <= SAMPLE)
               .withColumn("nth", F.row_number().over(whole)).filter(F.col("nth") <= SAMPLE)
               .drop("slice"))
-    rows = (usable.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"))
+    start = F.pmod(F.xxhash64("lang", "doc_id"), F.greatest(
+        F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    rows = (usable.select("lang", "doc_id", F.col("text").substr(start, F.lit(SAMPLE_CHARS)).alias("t"))
             .join(F.broadcast(chosen), ["lang", "doc_id"]).distinct()
-            .orderBy("lang", "nth", "t").select("lang", "t").collect())
-    out: dict[str, bytes] = {}
+            .orderBy("lang", "nth", "t").select("lang", "t", F.hash("doc_id").alias("code")).collect())
+    samples: dict[str, list[tuple[bytes, int]]] = {}
     for row in rows:
-        out[row.lang] = out.get(row.lang, b"")
-        if len(out[row.lang]) < DICTIONARY:
-            out[row.lang] += normal(row.t) + b" "
-    return {lang: data[:DICTIONARY] for lang, data in out.items() if data.strip()}
+        samples.setdefault(row.lang, []).append((normal(row.t), row.code))
+    out = {lang: dictionary(found) for lang, found in samples.items()}
+    return {lang: data for lang, data in out.items() if data.strip()}
 
 
 class Compressors:

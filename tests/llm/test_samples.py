@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from snapledger.llm import linecrf
+from snapledger.llm import langid, linecrf
 
 from .frames import documents, prose
 
@@ -30,3 +30,23 @@ def test_runs_of_lines_reach_every_line():
         seen[cut] = True
     assert seen.all()
     assert linecrf.run_of(length, 5, 10**6) == slice(0, 400)
+
+
+def test_every_sampled_document_is_in_the_dictionary(spark):
+    """400 documents longer than their share, each of a word of its own."""
+    name = lambda k: "".join(chr(97 + int(c)) for c in f"{k:04d}") * 2
+    df = spark.createDataFrame([(k, f"{name(k)} " * 400, "xx") for k in range(langid.SAMPLE)],
+                               "doc_id long, text string, lang string")
+    data = langid.learn(df)["xx"]
+    assert len(data) <= langid.DICTIONARY
+    assert all(name(k).encode() in data for k in range(langid.SAMPLE))
+
+
+def test_ends_of_long_texts_are_learned(spark):
+    df = spark.createDataFrame([(k, "a " * 3000 + "zebra " * 3000, "xx") for k in range(60)],
+                               "doc_id long, text string, lang string")
+    data = langid.learn(df)["xx"]
+    assert b"zebra zebra" in data and b"a a a" in data
+    short = spark.createDataFrame([(1, "one", "xx"), (2, "word " * 5, "xx")],
+                                  "doc_id long, text string, lang string")
+    assert sorted(langid.learn(short)["xx"].split()) == [b"one"] + [b"word"] * 5
