@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import Scratch, pieces
 
-#: Labelled pages that the model is trained on at most, and characters of one at most.
-SAMPLE, SAMPLE_CHARS = 300, 20_000
+#: Pages that the model is trained on at most, and their nodes: no further page once reached.
+SAMPLE, SAMPLE_NODES = 300, 100_000
 #: Gradient steps, their size, and the weight of the prior.
 STEPS, RATE, PRIOR = 60, 0.5, 0.02
 
@@ -258,22 +258,26 @@ def labels(tree: Tree) -> list[int] | None:
 
 def fit(pages: list[str]) -> Model:
     """Maximum a posteriori weights and potentials on pages that ``labels`` can label."""
+    return fit_trees([(tree.parent, features(tree), out) for tree in map(parse, pages)
+                      if (out := labels(tree)) is not None])
+
+
+def fit_trees(known: list[tuple[list[int], np.ndarray, list[int]]]) -> Model:
+    """The same on parents, features and labels of the nodes of pages."""
     prior = np.array(list(FEATURES.values())), np.array(COUPLING)
     model = Model(prior[0].copy(), prior[1].copy())
-    known = [(tree, out) for tree in map(parse, pages) if (out := labels(tree)) is not None]
     if not known:
         return model
-    rows = [features(tree) for tree, _ in known]
-    truth = [np.array(out, dtype=float) for _, out in known]
+    truth = [np.array(out, dtype=float) for *_, out in known]
     seen = np.zeros((2, 2))
-    for (tree, out) in known:
+    for parent, _, out in known:
         for k in range(1, len(out)):
-            seen[out[tree.parent[k]], out[k]] += 1
+            seen[out[parent[k]], out[k]] += 1
     n = sum(map(len, truth))
     for _ in range(STEPS):
         slope, pairs = np.zeros(len(FEATURES)), np.zeros((2, 2))
-        for (tree, _), x, y in zip(known, rows, truth):
-            p, expected = model.beliefs(tree.parent, (x @ model.weight).tolist())
+        for (parent, x, _), y in zip(known, truth):
+            p, expected = model.beliefs(parent, (x @ model.weight).tolist())
             slope += x.T @ (y - np.array(p))
             pairs += expected
         model.weight += RATE * (slope / n - PRIOR * (model.weight - prior[0]))
@@ -281,14 +285,40 @@ def fit(pages: list[str]) -> Model:
     return model
 
 
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parents, features and labels of the nodes of the pages that ``labels`` can label."""
+    for batch in pieces(batches, "html"):
+        for page_id, code, page in zip(*(batch.column(c).to_pylist() for c in ("page_id", "code", "html"))):
+            tree = parse(page)
+            if (out := labels(tree)) is not None:
+                yield pa.RecordBatch.from_pylist([{
+                    "page_id": page_id, "code": code, "n": len(out),
+                    "parent": np.array(tree.parent, dtype=np.int64).tobytes(),
+                    "features": features(tree).tobytes(),
+                    "labels": np.array(out, dtype=np.int64).tobytes()}])
+
+
 def learn(pages: DataFrame) -> Model:
-    """Fit on at most ``SAMPLE`` pages, those with the smallest hash of their id, and the first
-    ``SAMPLE_CHARS`` characters of each; null ids and pages are left out."""
+    """Fit on at most ``SAMPLE`` pages, those with the smallest hash of their id; null ids and
+    pages are left out.  Whole pages are parsed in tasks, and in the order of the hash pages are
+    taken until they have ``SAMPLE_NODES`` nodes, the one that reaches it as well."""
     usable = pages.filter(F.col("page_id").isNotNull() & F.col("html").isNotNull())
     chosen = usable.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE)
-    rows = (usable.select("page_id", F.substring("html", 1, SAMPLE_CHARS).alias("h"))
-            .join(F.broadcast(chosen), "page_id").distinct().orderBy("page_id", "h").collect())
-    return fit([r.h for r in rows])
+    read = (usable.join(F.broadcast(chosen), "page_id")
+            .select("page_id", "html", F.xxhash64("html").alias("code")).distinct())
+    parsed = Scratch(pages.sparkSession, "html").keep(read.mapInArrow(
+        _nodes, "page_id long, code long, n long, parent binary, features binary, labels binary"), "nodes")
+    order = [F.xxhash64("page_id"), F.col("page_id"), F.col("code")]
+    left, taken = SAMPLE_NODES, []
+    for row in parsed.orderBy(*order).select("page_id", "code", "n").collect():
+        if left > 0:
+            taken.append((row.page_id, row.code))
+            left -= row.n
+    some = pages.sparkSession.createDataFrame(taken, "page_id long, code long")
+    rows = parsed.join(F.broadcast(some), ["page_id", "code"]).orderBy("page_id", "code").collect()
+    return fit_trees([(np.frombuffer(r.parent, np.int64).tolist(),
+                       np.frombuffer(r.features).reshape(-1, len(FEATURES)),
+                       np.frombuffer(r.labels, np.int64).tolist()) for r in rows])
 
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from snapledger.llm import langid, linecrf
+from snapledger.llm import html, langid, linecrf
 
 from .frames import documents, prose
 
@@ -50,3 +50,14 @@ def test_ends_of_long_texts_are_learned(spark):
     short = spark.createDataFrame([(1, "one", "xx"), (2, "word " * 5, "xx")],
                                   "doc_id long, text string, lang string")
     assert sorted(langid.learn(short)["xx"].split()) == [b"one"] + [b"word"] * 5
+
+
+def test_pages_are_learned_whole(spark):
+    """Articles that begin after 20,000 characters, followed by comments."""
+    page = ("<html><head><title>t</title></head><body><div>" + "<p>menu</p>" * 3000 + "</div><article><p>"
+            + prose(4, 80) + "</p></article><div class='comments'><p>" + prose(5, 60) + "</p></div></body></html>")
+    pages = spark.createDataFrame([(k, "u", page) for k in range(4)], "page_id long, url string, html string")
+    prior, model = html.fit([]), html.learn(pages)
+    assert not np.allclose(model.weight, prior.weight)
+    whole = html.fit([page] * 4)
+    assert np.allclose(model.weight, whole.weight) and np.allclose(model.coupling, whole.coupling)
