@@ -136,7 +136,7 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     spark = documents.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"),
-                             F.coalesce("text", F.lit("")).alias("t"))
+                             F.coalesce("text", F.lit("")).alias("t")).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-size // block_bytes))
     rows = documents.select(*carry)

@@ -300,12 +300,13 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(pages: DataFrame) -> Model:
     """Fit on at most ``SAMPLE`` pages, those with the smallest hash of their id; null ids and
-    pages are left out.  Whole pages are parsed in tasks, and in the order of the hash pages are
+    pages are left out, and of several pages of an id that with the smallest hash is used.  Whole pages are parsed in tasks, and in the order of the hash pages are
     taken until they have ``SAMPLE_NODES`` nodes, the one that reaches it as well."""
     usable = pages.filter(F.col("page_id").isNotNull() & F.col("html").isNotNull())
     chosen = usable.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE)
     read = (usable.join(F.broadcast(chosen), "page_id")
-            .select("page_id", "html", F.xxhash64("html").alias("code")).distinct())
+            .groupBy("page_id").agg(F.min(F.struct(F.xxhash64("html").alias("code"), "html")).alias("p"))
+            .select("page_id", "p.html", "p.code"))
     parsed = Scratch(pages.sparkSession, "html").keep(read.mapInArrow(
         _nodes, "page_id long, code long, n long, parent binary, features binary, labels binary"), "nodes")
     order = [F.xxhash64("page_id"), F.col("page_id"), F.col("code")]

@@ -55,7 +55,8 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     """A dictionary for each language of ``labelled`` (doc_id, text, lang).
 
     At most ``SAMPLE`` documents of a language are used, those with the smallest hash of their
-    id; rows without text or lang are not.  The bytes of the dictionary are shared out evenly
+    id, and one text of each, that with the smallest hash; rows without text or lang are not.
+    The bytes of the dictionary are shared out evenly
     among them, what short texts leave to the others, and a longer text gives a stretch at a
     place chosen by hash.  The sample is chosen by id and language alone, so texts are read for
     the chosen documents only.
@@ -75,8 +76,9 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     start = F.pmod(F.xxhash64("lang", "doc_id"), F.greatest(
         F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
     rows = (usable.select("lang", "doc_id", F.col("text").substr(start, F.lit(SAMPLE_CHARS)).alias("t"))
-            .join(F.broadcast(chosen), ["lang", "doc_id"]).distinct()
-            .orderBy("lang", "nth", "t").select("lang", "t", F.hash("doc_id").alias("code")).collect())
+            .join(F.broadcast(chosen), ["lang", "doc_id"]).groupBy("lang", "nth", "doc_id")
+            .agg(F.min(F.struct(F.xxhash64("t"), "t")).alias("least"))
+            .orderBy("lang", "nth").select("lang", "least.t", F.hash("doc_id").alias("code")).collect())
     samples: dict[str, list[tuple[bytes, int]]] = {}
     for row in rows:
         samples.setdefault(row.lang, []).append((normal(row.t), row.code))

@@ -235,15 +235,17 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most ``SAMPLE`` labelled documents, those with the smallest hash of their id.
     Of a document whose lines have more than ``SAMPLE_BYTES`` bytes, a run of lines around a
     place chosen by hash is used, with the features that they have in the whole text.  Null ids,
-    labels and texts are left out; of several labels of a document the smallest counts."""
+    labels and texts are left out; of several labels of a document the smallest counts, of
+    several texts that with the smallest hash."""
     marked = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
               .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     usable = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
     chosen = (usable.select("doc_id").join(marked, "doc_id").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
-    texts = usable.join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", F.col("quality").cast("int").alias("quality"), "text",
-        F.xxhash64("doc_id", "text").alias("code")).distinct()
+    texts = usable.join(F.broadcast(chosen), "doc_id").groupBy(
+        "doc_id", F.col("quality").cast("int").alias("quality")).agg(
+        F.min(F.struct(F.xxhash64("doc_id", "text").alias("code"), "text")).alias("t")
+        ).select("doc_id", "quality", "t.text", "t.code")
     rows = texts.mapInArrow(
         _runs, "doc_id long, code long, quality int, features binary, length binary"
         ).orderBy("doc_id", "code").collect()

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from snapledger.llm import html, langid, linecrf
+from snapledger.llm import decontam, html, langid, linecrf
 
 from .frames import documents, prose
 
@@ -61,3 +61,32 @@ def test_pages_are_learned_whole(spark):
     assert not np.allclose(model.weight, prior.weight)
     whole = html.fit([page] * 4)
     assert np.allclose(model.weight, whole.weight) and np.allclose(model.coupling, whole.coupling)
+
+
+def test_an_id_shared_by_many_rows_sends_one_text(spark, monkeypatch):
+    """Every text and every page has the same id."""
+    n = 40
+    df = spark.createDataFrame([(1, prose(k), "xx") for k in range(n)],
+                               "doc_id long, text string, lang string")
+    assert sum(langid.normal(prose(k)) in langid.learn(df)["xx"] for k in range(n)) == 1
+    taken = []
+    monkeypatch.setattr(linecrf, "fit_lines", lambda found, labels: taken.append(labels))
+    linecrf.learn(df, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    monkeypatch.setattr(html, "fit_trees", lambda known: taken.append(known))
+    html.learn(spark.createDataFrame([(1, f"<article>{prose(k)}</article>") for k in range(n)],
+                                     "page_id long, html string"))
+    assert [len(x) for x in taken] == [1, 1]
+
+
+def test_repeated_items_stay_in_a_block(spark, monkeypatch):
+    """An item that a third of the benchmark's rows repeat counts once."""
+    sizes = []
+    scanner = decontam._scanner
+    monkeypatch.setattr(decontam, "_scanner", lambda block, window: sizes.append(
+        [len(t) for _, t in block.value]) or scanner(block, window))
+    items = spark.createDataFrame([(0, prose(0))] * 30 + [(k, prose(k)) for k in range(1, 61)],
+                                  "item_id long, text string")
+    docs = documents(spark, [(1, prose(0)), (2, "none of them")])
+    found = decontam.find_passages(docs, items, block_bytes=len(prose(0)) * 10).collect()
+    assert sum(map(len, sizes)) == 61
+    assert {r.doc_id: "0" in r["items"] for r in found} == {1: True, 2: False}
