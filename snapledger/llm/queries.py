@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, hostrules, html, langid, linecrf, sharding, simhash, stages, suffix
+from . import (bpe, chat, decontam, hostrules, html, langid, lengths, linecrf, manifest, negatives,
+               sharding, simhash, stages, suffix)
 from .common import held_out, ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,3 +257,111 @@ def _(table) -> DataFrame:
     pages = table("pages")
     return html.extract(pages, html.learn(pages)).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# Levels upward by recursion, first in each lang's tree, then above all; siblings by a join of a
+# level with itself; then every leaf downward-to-root by recursion again.
+OP11_SQL = """
+WITH RECURSIVE named AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, n_chars, text,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+             lambda c, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+             CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS code
+  FROM documents),
+heads AS (
+  SELECT r, doc_id, t, text, lowered, code,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head
+  FROM named),
+digests AS (
+  SELECT r, doc_id, t, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN code % 3 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END
+           AS changed
+  FROM heads),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM digests),
+low AS (
+  SELECT 0 AS level, t, i, leaf AS h FROM leaves
+  UNION ALL
+  SELECT level + 1, t, i // 8, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY t) AS n FROM low) WHERE n > 1 GROUP BY level, t, i // 8),
+subroots AS (SELECT t, arg_max(h, level) AS subroot FROM low GROUP BY t),
+high AS (
+  SELECT 0 AS level, -1 AS t, t AS i, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, t, i // 8, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER () AS n FROM high) WHERE n > 1 GROUP BY level, t, i // 8),
+nodes AS (
+  SELECT *, count(*) OVER (PARTITION BY t, level) AS n
+  FROM (SELECT * FROM low UNION ALL SELECT * FROM high)),
+sides AS (
+  SELECT a.t, a.level, a.i,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS g
+  FROM nodes a JOIN nodes b ON a.t = b.t AND a.level = b.level AND a.i // 8 = b.i // 8
+  WHERE a.n > 1 GROUP BY a.t, a.level, a.i),
+inner_ AS (
+  SELECT r, t, i, 0 AS level, '' AS proof, coalesce(changed, leaf) AS h FROM leaves
+  UNION ALL
+  SELECT f.r, f.t, f.i // 8, f.level + 1, f.proof || s.l || s.g, sha256(s.l || f.h || s.g)
+  FROM inner_ f JOIN sides s ON f.t = s.t AND f.level = s.level AND f.i = s.i),
+outer_ AS (
+  SELECT r, t AS i, 0 AS level, proof, h
+  FROM (SELECT r, t, arg_max(proof, level) AS proof, arg_max(h, level) AS h FROM inner_ GROUP BY r, t)
+  UNION ALL
+  SELECT f.r, f.i // 8, f.level + 1, f.proof || s.l || s.g, sha256(s.l || f.h || s.g)
+  FROM outer_ f JOIN sides s ON s.t = -1 AND f.level = s.level AND f.i = s.i),
+ends AS (SELECT r, arg_max(proof, level) AS proof, arg_max(h, level) AS h FROM outer_ GROUP BY r)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM leaves JOIN subroots USING (t) JOIN ends USING (r)
+     CROSS JOIN (SELECT arg_max(h, level) AS root FROM high)
+"""
+
+
+@query("op11_manifest", OP11_SQL)
+def _(table) -> DataFrame:
+    """Where 3 divides the crc32 of the id, the text is put in lower case (A to Z only)."""
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return manifest.prove(table("documents"), changed,
+                          lambda text: F.translate(text, upper, upper.lower()))
+
+
+@query("op12_token_counts")
+def _(table) -> DataFrame:
+    return lengths.count_tokens(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+OP13_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM rows a JOIN rows c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER)
+         AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def _(table) -> DataFrame:
+    """Every seventh label is wrong on purpose, every fiftieth row is an anchor."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table("embeddings").withColumn("label", label)
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
