@@ -38,6 +38,12 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Remove tables that nothing reads any more."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def partitions(spark: SparkSession, rows: int, per_partition: int) -> int:
     """Enough partitions for ``rows``, and never fewer than the session shuffles into."""
@@ -45,6 +51,12 @@ def partitions(spark: SparkSession, rows: int, per_partition: int) -> int:
     return max(least, -(-rows // per_partition))
 
 
+def small(table: DataFrame, limit: int = 1 << 21) -> DataFrame:
+    """A narrow table, to be broadcast if it is counted to have at most ``limit`` rows; a larger
+    one is left to an ordinary join."""
+    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+
+
 def lookup(left: DataFrame, table: DataFrame, key: str, weight: str, total: int,
            hot: int = 1000) -> DataFrame:
     """``left`` joined to the one row that ``table`` has for each value of ``key``.

@@ -44,10 +44,10 @@ def parent(children: Sequence[Node]) -> Node:
     return Node(digest(*[c.digest for c in children]), tuple(children))
 
 
-def height(n: int) -> int:
+def levels_of(n: int, height: int) -> int:
     """Levels between the leaves of a block and its node, in a tier of ``n`` nodes."""
-    if n > FAN ** HEIGHT:
-        return HEIGHT
+    if n > FAN ** height:
+        return height
     levels = 0
     while FAN ** levels < n:
         levels += 1
@@ -89,18 +89,18 @@ def folded(leaf: bytes, path: Iterable[tuple[bytes, bytes]]) -> bytes:
     return leaf
 
 
-def _block(table: pa.Table) -> tuple[list[dict], int, Node]:
+def _block(table: pa.Table, height: int) -> tuple[list[dict], int, Node]:
     rows = sorted(table.to_pylist(), key=lambda r: r["at"])
-    levels = height(rows[0]["n"])
+    levels = levels_of(rows[0]["n"], height)
     return rows, levels, grown((r["digest"] for r in rows), levels)
 
 
 _NODE = "tree long, at long, n long, digest binary"
 
 
-def _fold(table: pa.Table) -> pa.Table:
-    rows, _, top = _block(table)
-    r, size = rows[0], FAN ** HEIGHT
+def _fold(height: int, table: pa.Table) -> pa.Table:
+    rows, _, top = _block(table, height)
+    r, size = rows[0], FAN ** height
     return pa.table({"tree": [r["tree"]], "at": [r["at"] // size], "n": [-(-r["n"] // size)],
                      "digest": [top.digest]})
 
@@ -113,10 +113,10 @@ def _above(parents: pa.Table) -> tuple[list[tuple[bytes, bytes]], dict]:
 _HANDED = f"tree long, at long, path {_PATH}, subroot binary, root binary"
 
 
-def _hand_down(children: pa.Table, parents: pa.Table) -> pa.Table:
-    rows, levels, top = _block(children)
+def _hand_down(height: int, children: pa.Table, parents: pa.Table) -> pa.Table:
+    rows, levels, top = _block(children, height)
     above, given = _above(parents)
-    paths = [siblings(top, r["at"] % FAN ** HEIGHT, levels) + above for r in rows]
+    paths = [siblings(top, r["at"] % FAN ** height, levels) + above for r in rows]
     pair = pa.struct([("left", pa.binary()), ("right", pa.binary())])
     return pa.table({
         "tree": [r["tree"] for r in rows], "at": [r["at"] for r in rows],
@@ -129,14 +129,14 @@ _PROVEN = ("doc_id long, leaf string, subroot string, root string, proof_sha256
            "folded_root string, verified boolean")
 
 
-def _prove(children: pa.Table, parents: pa.Table) -> pa.Table:
-    rows, levels, top = _block(children)
+def _prove(height: int, children: pa.Table, parents: pa.Table) -> pa.Table:
+    rows, levels, top = _block(children, height)
     above, given = _above(parents)
     tail = "".join(a.hex() + b.hex() for a, b in above).encode()
     known: dict[bytes, bytes] = {}  # versions that end in the same node go on alike
     out: dict[str, list] = {name.split()[0]: [] for name in _PROVEN.split(", ")}
     for r in rows:
-        place = r["at"] % FAN ** HEIGHT
+        place = r["at"] % FAN ** height
         own = siblings(top, place, levels)
         if r["changed"] is None:
             node = folded(r["digest"], own)
@@ -185,25 +185,33 @@ def numbered(scratch: Scratch, rows: DataFrame, name: str, order: Sequence[str],
     return sorted_, scratch.keep(starts, f"{name}-starts")
 
 
-def tiers(scratch: Scratch, nodes: DataFrame, name: str) -> list[DataFrame]:
+def tiers(scratch: Scratch, nodes: DataFrame, name: str, height: int) -> list[DataFrame]:
     """``nodes`` (tree, at, n, digest) and the tiers above, until every tree is one node."""
     found = [nodes]
     while (found[-1].agg(F.max("n")).first()[0] or 1) > 1:
-        folded_ = _blocks(found[-1].select("tree", "at", "n", "digest")).applyInArrow(_fold, _NODE)
+        folded_ = _blocks(found[-1].select("tree", "at", "n", "digest"), height).applyInArrow(
+            _bound(_fold, height), _NODE)
         found.append(scratch.keep(folded_, f"{name}-{len(found)}"))
     return found
 
 
-def _blocks(nodes: DataFrame):
-    return nodes.groupBy("tree", F.floor(F.col("at") / FAN ** HEIGHT).cast("long").alias("block"))
+def _bound(work: Callable, height: int) -> Callable:
+    if work is _fold:
+        return lambda table: _fold(height, table)
+    return lambda children, parents: work(height, children, parents)
 
 
-def _down(nodes: DataFrame, handed: DataFrame, work: Callable, schema: str) -> DataFrame:
+def _blocks(nodes: DataFrame, height: int):
+    return nodes.groupBy("tree", F.floor(F.col("at") / FAN ** height).cast("long").alias("block"))
+
+
+def _down(nodes: DataFrame, handed: DataFrame, work: Callable, schema: str, height: int) -> DataFrame:
     blocks = handed.groupBy("tree", F.col("at").alias("block"))
-    return _blocks(nodes).cogroup(blocks).applyInArrow(work, schema)
+    return _blocks(nodes, height).cogroup(blocks).applyInArrow(_bound(work, height), schema)
 
 
-def prove(documents: DataFrame, changed: Column, change: Callable[[Column], Column]) -> DataFrame:
+def prove(documents: DataFrame, changed: Column, change: Callable[[Column], Column],
+          height: int = HEIGHT) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified for every row.
 
     Of ``documents`` the columns ``FIELDS`` are read; a tree is made for each lang.  In the rows
@@ -211,7 +219,8 @@ def prove(documents: DataFrame, changed: Column, change: Callable[[Column], Colu
     ``folded_root`` is the root of that version.  Leaves ascend by doc_id, null first; rows with
     the same doc_id go by their digest, equal ones in any order, each with its own place and
     proof.  A null in a column is a leaf's ``-``, a null lang is a group, the first one.  A long
-    text is digested where it lies, only digests are shuffled.  No rows: no rows.
+    text is digested where it lies, only digests are shuffled.  No rows: no rows.  ``height`` is
+    the number of levels of a block; results do not depend on it.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "manifest")
@@ -233,21 +242,21 @@ def prove(documents: DataFrame, changed: Column, change: Callable[[Column], Colu
         "doc_id", "digest", "changed", "tree", "n",
         (F.col("place") - F.col("low") + F.col("before")).alias("at")), "nodes")
 
-    lower = tiers(scratch, nodes, "tier")
+    lower = tiers(scratch, nodes, "tier", height)
     n_trees = starts.select("tree", "n_trees").distinct()
     tops = lower[-1].select("tree", "digest").join(n_trees, "tree").select(
         F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), F.col("n_trees").alias("n"),
         "digest")
-    upper = tiers(scratch, scratch.keep(tops, "subroots"), "upper")
+    upper = tiers(scratch, scratch.keep(tops, "subroots"), "upper", height)
     handed = upper[-1].select(
         "tree", "at", F.array().cast(_PATH).alias("path"),
         F.lit(None).cast("binary").alias("subroot"), F.col("digest").alias("root"))
     for k, tier in enumerate(reversed(upper)):
-        handed = scratch.keep(_down(tier, handed, _hand_down, _HANDED), f"handed-upper-{k}")
+        handed = scratch.keep(_down(tier, handed, _hand_down, _HANDED, height), f"handed-upper-{k}")
         if k + 1 < len(upper):
             handed = handed.withColumn("subroot", F.lit(None).cast("binary"))
     handed = handed.select(F.col("at").alias("tree"), F.lit(0).cast("long").alias("at"), "path",
                            "subroot", "root")
     for k, tier in enumerate(reversed(lower[1:])):
-        handed = scratch.keep(_down(tier, handed, _hand_down, _HANDED), f"handed-{k}")
-    return _down(nodes, handed, _prove, _PROVEN)
+        handed = scratch.keep(_down(tier, handed, _hand_down, _HANDED, height), f"handed-{k}")
+    return _down(nodes, handed, _prove, _PROVEN, height)

@@ -31,6 +31,13 @@ _LEAST = np.iinfo(np.int64).min
 _EXACT = 1 << 63
 
 
+def _even(a: np.ndarray) -> np.ndarray:
+    """With a row and a column of zeros where their number is odd."""
+    out = np.zeros([n + n % 2 for n in a.shape], dtype=a.dtype)
+    out[:len(a), :a.shape[1]] = a
+    return out
+
+
 def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of the rows of ``a`` and of ``b`` by Strassen's recursion.
 
@@ -41,8 +48,7 @@ def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if min(m, n, k) <= LEAF:
         return a @ b.T if a.dtype == object or not m * n * k else np.einsum("ik,jk->ij", a, b)
     if m % 2 or n % 2 or k % 2:
-        wide = multiply(np.pad(a, ((0, m % 2), (0, k % 2))), np.pad(b, ((0, n % 2), (0, k % 2))))
-        return wide[:m, :n]
+        return multiply(_even(a), _even(b))[:m, :n]
     m, n, k = m // 2, n // 2, k // 2
     a11, a12, a21, a22 = a[:m, :k], a[:m, k:], a[m:, :k], a[m:, k:]
     b11, b21, b12, b22 = b[:n, :k], b[:n, k:], b[n:, :k], b[n:, k:]
