@@ -76,3 +76,28 @@ def neighbours(turns: DataFrame) -> DataFrame:
     ids = turns.filter(F.col("conv_id").isNotNull()).select(half.alias("pair_id")).distinct()
     return ids.select("pair_id", (F.col("pair_id") * 2).alias("chosen"),
                       (F.col("pair_id") * 2 + 1).alias("rejected"))
+
+
+def swapped(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and pairs in which every conversation (chosen) meets itself with another answer.
+
+    The rejected side is the conversation up to its last turn of ``TRAINED``, whose text is
+    replaced by the last such text of the conversation with the neighbouring id (2k and 2k + 1
+    are neighbours); all before is common to both.  Conversation c becomes 2c (chosen) and 2c + 1
+    (rejected), the pair c.  Where either conversation has no such turn there is no rejected side.
+    A null id belongs to no pair; of several last texts of one number the greatest counts.
+    """
+    known = turns.select("conv_id", "turn", "role", "text").filter(F.col("conv_id").isNotNull())
+    last = known.filter((F.col("role") == TRAINED) & F.col("turn").isNotNull()).groupBy("conv_id").agg(
+        F.max(F.struct("turn", "text")).alias("last"))
+    neighbour = F.col("conv_id") + 1 - 2 * F.pmod("conv_id", F.lit(2))
+    answers = last.select(neighbour.alias("conv_id"), F.col("last.text").alias("other")).join(
+        last.select("conv_id", F.col("last.turn").alias("at")), "conv_id")
+    rejected = known.join(answers, "conv_id").filter(F.col("turn").isNull() | (F.col("turn") <= F.col("at")))
+    ends = (F.col("turn") == F.col("at")) & (F.col("role") == TRAINED)
+    both = known.withColumn("conv_id", F.col("conv_id") * 2).unionByName(rejected.select(
+        (F.col("conv_id") * 2 + 1).alias("conv_id"), "turn", "role",
+        F.when(ends, F.col("other")).otherwise(F.col("text")).alias("text")))
+    ids = known.select("conv_id").distinct()
+    return both, ids.select(F.col("conv_id").alias("pair_id"), (F.col("conv_id") * 2).alias("chosen"),
+                            (F.col("conv_id") * 2 + 1).alias("rejected"))

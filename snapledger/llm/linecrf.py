@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from .common import pieces
 
-#: The labelled sample that the model is fitted on: documents, and bytes of the lines of one.
-SAMPLE, SAMPLE_BYTES = 4_000, 6_000
+#: The labelled sample that the model is fitted on: documents, and bytes and lines of one.  Features
+#: of all their lines, 32 doubles each, are 150 MB at most.
+SAMPLE, SAMPLE_BYTES, SAMPLE_LINES = 4_000, 6_000, 150
 #: Steps of Adam, its rate, and the weight of the Gaussian prior.
 STEPS, RATE, PRIOR = 150, 0.08, 1e-3
 
@@ -223,7 +224,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Features and lengths of the lines that each text is learned from."""
     for batch in pieces(batches, "text", 1 << 21):
         found = [lines([t]) for t in batch.column("text").to_pylist()]
-        cuts = [run_of(x.length, c) for x, c in zip(found, batch.column("code").to_pylist())]
+        # a line counts as its share of the bytes at least, which bounds their number
+        cuts = [run_of(np.maximum(x.length, SAMPLE_BYTES / SAMPLE_LINES), c) for x, c in zip(found, batch.column("code").to_pylist())]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("code"), batch.column("quality"),
              pa.array([x.features[c].tobytes() for x, c in zip(found, cuts)], pa.binary()),
@@ -233,8 +235,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(documents: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most ``SAMPLE`` labelled documents, those with the smallest hash of their id.
-    Of a document whose lines have more than ``SAMPLE_BYTES`` bytes, a run of lines around a
-    place chosen by hash is used, with the features that they have in the whole text.  Null ids,
+    Of a document whose lines have more than ``SAMPLE_BYTES`` bytes, or are more than
+    ``SAMPLE_LINES`` (short ones count as 40 bytes), a run of lines around a place chosen by hash
+    is used, with the features that they have in the whole text.  Null ids,
     labels and texts are left out; of several labels of a document the smallest counts, of
     several texts that with the smallest hash."""
     marked = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -259,8 +262,8 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model:
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, score for every row of ``documents``; only doc_id and text are read.
 
-    Score is between 0 and 1.  A text that is null or has no word scores 0.  Repeated rows come
-    out as often as they come in.
+    Score is between 0 and 1.  A text that is null or has no word scores 0.  A very long text is
+    scored whole, its lines in one table.  Repeated rows come out as often as they come in.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

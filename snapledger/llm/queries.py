@@ -95,12 +95,24 @@ def _(table) -> DataFrame:
 
 
 OP3_SQL = """
-WITH turns AS (
+WITH known AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+ends AS (
+  SELECT conv_id, max(turn) AS at, max_by(text, (turn, text)) AS answer
+  FROM known WHERE role = 'assistant' AND turn IS NOT NULL GROUP BY conv_id),
+doubled AS (
+  SELECT 2 * conv_id AS conv_id, turn, role, text FROM known
+  UNION ALL
+  SELECT 2 * k.conv_id + 1, turn, role,
+         CASE WHEN turn = e.at AND role = 'assistant' THEN o.answer ELSE text END
+  FROM known k JOIN ends e ON e.conv_id = k.conv_id
+       JOIN ends o ON o.conv_id = k.conv_id + 1 - 2 * (((k.conv_id % 2) + 2) % 2)
+  WHERE turn IS NULL OR turn <= e.at),
+turns AS (
   SELECT conv_id, turn, role, text,
          row_number() OVER (PARTITION BY conv_id, turn
                             ORDER BY role NULLS FIRST, text NULLS FIRST) - 1 AS tie
-  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL)),
-pairs AS (SELECT DISTINCT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id FROM turns),
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM doubled)),
+pairs AS (SELECT DISTINCT conv_id AS pair_id FROM known),
 c AS (SELECT pair_id, turn, tie, role, text FROM pairs JOIN turns ON conv_id = 2 * pair_id),
 r AS (SELECT pair_id, turn, tie, role, text FROM pairs JOIN turns ON conv_id = 2 * pair_id + 1),
 rows AS (
@@ -135,8 +147,7 @@ FROM parts
 
 @query("op3_preferences", OP3_SQL)
 def _(table) -> DataFrame:
-    turns = table("conversations")
-    return chat.format_preferences(turns, chat.neighbours(turns))
+    return chat.format_preferences(*chat.swapped(table("conversations")))
 
 
 @query("op4_language")

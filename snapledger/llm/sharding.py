@@ -1,8 +1,9 @@
 """Shards of equal size by vector bin packing on bytes, tokens and rows.
 
 Rows with equal text form a group.  Groups are packed as bundles: a group that is large for a
-shard is cut into pieces of its own, all others are hashed into a fixed number of bundles, so
-that the packing itself sees a bounded number of vectors whatever the size of the corpus.
+shard is a bundle of its own, or several if no shard can hold it; all others are hashed into a
+fixed number of bundles, so that the packing itself sees a bounded number of vectors whatever the
+size of the corpus.
 Bundles are placed from large to small, each on the shard where the dot product of its vector
 with the residual capacity is highest, among those whose bytes still have room for it.
 """
@@ -17,7 +18,8 @@ from .common import Scratch, text_key
 
 SHARDS = 40
 #: Bundles of small groups per shard.  A group above 1 / LARGE of a shard (in bytes, tokens or
-#: rows) is packed by itself, so there are at most 3 * SHARDS * LARGE of those.
+#: rows) is packed by itself, so there are at most 3 * SHARDS * LARGE of those; one above a whole
+#: shard is cut into pieces of about 2 / LARGE of a shard.
 BUNDLES, LARGE = 256, 64
 #: Bytes of a row besides its text (fixed by contract).
 ROW_BYTES = 16
@@ -42,9 +44,10 @@ def pack(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     Only ``doc_id`` and ``text`` are read.  ``size`` is the text's UTF-8 bytes plus 16, a token
     is a word between ASCII white space, slots of a shard run from 0 without gaps.  A null text
-    counts as empty.  Rows with equal text share a shard unless together they are large for it
-    (above 1/64 of a shard), then they are dealt out in pieces.  Repeated rows and null ids are
-    rows like others.  No rows: no rows.
+    counts as empty.  Rows with equal text share a shard unless together they are more than a
+    shard's fair share of bytes, tokens or rows, then they are dealt out in pieces, also those
+    that repeat one id.  A very long text is one row and stays whole.  Repeated rows and null ids
+    are rows like others.  No rows: no rows.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "sharding")
@@ -63,16 +66,22 @@ def pack(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     share = F.greatest(*[F.col(c) / float(f) for c, f in zip(("bytes", "tokens", "rows"), fair)])
     large = (rows.groupBy("same").agg(*sums).withColumn("share", share)
              .filter(F.col("share") > 1 / LARGE).orderBy("same").collect())
+    # Rows of a group that is cut are told apart by their ids, by their place if ids repeat.
+    over = [g.same for g in large if g.share > 1]
+    ids = rows.filter(F.col("same").isin(over)).groupBy("same", "doc_id").count()
+    repeated = {r.same for r in ids.groupBy("same").agg(F.max("count").alias("most")).collect()
+                if r.most > 1} if over else set()
     bundles = shards * BUNDLES
     base, table = bundles, []
     for group in large:
-        cut = min(group.rows, int(np.ceil(group.share * LARGE / 2)))
-        table.append((group.same, base, cut))
+        cut = 1 if group.share <= 1 else min(group.rows, int(np.ceil(group.share * LARGE / 2)))
+        table.append((group.same, base, cut, group.same in repeated))
         base += cut
-    heavy = F.broadcast(spark.createDataFrame(table, "same long, base long, cut long"))
-    bundle = F.when(F.col("base").isNotNull(), F.col("base") + F.pmod(F.xxhash64(F.coalesce("doc_id", "row")), "cut")
-                    ).otherwise(F.pmod(F.xxhash64("same"), F.lit(bundles)))
-    rows = rows.join(heavy, "same", "left").withColumn("bundle", bundle).drop("base", "cut")
+    heavy = F.broadcast(spark.createDataFrame(table, "same long, base long, cut long, places boolean"))
+    code = F.when(F.col("places"), F.xxhash64("row")).otherwise(F.xxhash64(F.coalesce("doc_id", "row")))
+    piece = F.col("base") + F.pmod(code, "cut")
+    bundle = F.when(F.col("base").isNotNull(), piece).otherwise(F.pmod(F.xxhash64("same"), F.lit(bundles)))
+    rows = rows.join(heavy, "same", "left").withColumn("bundle", bundle).drop("base", "cut", "places")
 
     packed = rows.groupBy("bundle").agg(*sums).orderBy("bundle").collect()
     vectors = np.array([[r.bytes, r.tokens, r.rows] for r in packed], float).reshape(-1, 3) / fair

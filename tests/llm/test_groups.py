@@ -51,6 +51,24 @@ def test_shards_are_even_and_groups_stay_together(spark):
     assert all(len({shard[20_000 + 3 * k + j] for j in range(3)}) == 1 for k in range(30))
 
 
+def test_copies_of_one_row_are_dealt_out_and_groups_stay_whole(spark):
+    """Half of all rows are one row with one id; other groups fill up to most of a shard."""
+    rng = np.random.default_rng(2)
+    rows = [(i, "w " * int(n)) for i, n in enumerate(rng.integers(20, 60, 4000))]
+    rows = [(i, f"{i} {t}") for i, t in rows] + [(77_777, "one row again and again, " * 4)] * 4000
+    rows += [(50_000 + 100 * g + i, f"group {g} " * 12) for g in range(6) for i in range(60 + 100 * g)]
+    out = check_shards(documents(spark, rows).repartition(5), 8)
+    size = Counter()
+    for r in out:
+        size[r.shard] += r["size"]
+    assert max(size.values()) <= 1.02 * min(size.values())
+    shards = defaultdict(set)
+    for r in out:
+        shards[r.text_crc32].add(r.shard)
+    hot = zlib.crc32(("one row again and again, " * 4).encode())
+    assert len(shards.pop(hot)) == 8 and all(len(s) == 1 for s in shards.values())
+
+
 def test_result_does_not_depend_on_partitions(spark):
     df = sf(spark)
     one, two = (sorted((r.doc_id, r.shard) for r in sharding.pack(df.repartition(n)).collect())
@@ -114,6 +132,48 @@ def test_preferences_of_the_table(spark):
     assert preferences(df) == slow_preferences(turns, pairs)
 
 
+def slow_swapped(turns):
+    known = [t for t in turns if t[0] is not None]
+    ends = {}
+    for conv, turn, role, text in known:
+        if role == "assistant" and turn is not None:
+            ends[conv] = max(ends.get(conv, (turn, False, "")), (turn, text is not None, text or ""))
+    out = [(2 * c, *rest) for c, *rest in known]
+    for conv, turn, role, text in known:
+        other = ends.get(conv ^ 1)
+        if conv in ends and other and (turn is None or turn <= ends[conv][0]):
+            if role == "assistant" and turn == ends[conv][0]:
+                text = other[2] if other[1] else None
+            out.append((2 * conv + 1, turn, role, text))
+    return out, [(c, 2 * c, 2 * c + 1) for c in sorted({t[0] for t in known})]
+
+
+@pytest.mark.parametrize("name", ["made", "table"])
+def test_swapped_answers_share_their_prompt(spark, name):
+    if name == "made":
+        turns = TURNS + [(20, 0, "user", "u"), (20, 1, "assistant", "a"), (20, 1, "assistant", "b"),
+                         (21, 3, "assistant", None), (21, 4, "user", "late"), (-2, 0, "assistant", "m"),
+                         (-1, 0, "assistant", "n"), (30, 0, "assistant", "no neighbour")]
+        df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    else:
+        df = sf(spark, "conversations")
+        turns = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+    out = chat.format_preferences(*chat.swapped(df)).select(
+        "pair_id", "part", "turn", "tie", "role", "rendered", "trained", "n_chars", "paired")
+    got = sorted(map(tuple, out.collect()), key=str)
+    assert got == slow_preferences(*slow_swapped(turns))
+    assert any(r[1] == "prompt" for r in got)
+    assert chat.format_preferences(*chat.swapped(df.filter("false"))).collect() == []
+
+
+def test_a_very_long_conversation(spark):
+    turns = [(0, k, ("user", "assistant")[k % 2], f"turn {k} " * 20) for k in range(6000)]
+    turns += [(1, k, t[2], t[3] if k < 5990 else f"other {k}") for k, t in enumerate(turns)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    out = chat.format_preferences(df, chat.neighbours(df)).groupBy("part").count().collect()
+    assert dict(map(tuple, out)) == {"prompt": 5990, "chosen": 10, "rejected": 10}
+
+
 # pipeline
 
 def test_pipeline_stage_by_stage(spark):

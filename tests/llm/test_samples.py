@@ -32,6 +32,20 @@ def test_runs_of_lines_reach_every_line():
     assert linecrf.run_of(length, 5, 10**6) == slice(0, 400)
 
 
+def test_many_short_lines_are_bounded(spark):
+    df = documents(spark, [(k, ("a\n" if k % 2 else "$ $ $\n") * 6000) for k in range(40)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    seen = []
+    whole = linecrf.fit_lines
+    try:
+        linecrf.fit_lines = lambda found, marks: (seen.append(len(found.length)), whole(found, marks))[1]
+        model = linecrf.learn(df, labels)
+    finally:
+        linecrf.fit_lines = whole
+    assert seen[0] <= 40 * linecrf.SAMPLE_LINES
+    assert all((r.score >= 0.5) == r.doc_id % 2 for r in linecrf.score(df, model).collect())
+
+
 def test_every_sampled_document_is_in_the_dictionary(spark):
     """400 documents longer than their share, each of a word of its own."""
     name = lambda k: "".join(chr(97 + int(c)) for c in f"{k:04d}") * 2
