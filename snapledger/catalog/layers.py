@@ -15,9 +15,17 @@ from ..plans.bikeshare import (
     build_station,
     file_instant,
 )
-from ..plans.medallion import Settings, Warehouse, run_batch
+from ..plans.medallion import (
+    INFORMATION,
+    STATUS,
+    Settings,
+    Warehouse,
+    check_freshness,
+    run_batch,
+)
 from ..session import scratch_dir
-from ..sources import explode_payload
+from ..sources import explode_payload, land
+from ..streaming import start_feed
 from .cleaning import RAW_TYPES
 from .products import props_k
 from .registry import Tables, query
@@ -68,9 +76,9 @@ def station_build(tables: Tables) -> DataFrame:
 CADENCE_MINUTES = 5
 
 
-def event_status(tables: Tables) -> DataFrame:
-    """events as status documents, one every five minutes; users are the stations and occur
-    several times in a document."""
+def status_documents(tables: Tables) -> DataFrame:
+    """events as status documents (chunk, payload, stamp), one every five minutes; users are the
+    stations and occur several times in a document."""
     events = tables("events").select("*", props_k())
     raw = F.when(F.col("event_type") == "view", F.concat(F.col("k").cast("string"), F.lit(".9"))) \
         .otherwise(F.col("k").cast("string"))
@@ -85,8 +93,13 @@ def event_status(tables: Tables) -> DataFrame:
         F.lit("true").alias("is_renting"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("last_reported")])
     seconds = F.lit(1704067200) + F.col("chunk") * CADENCE_MINUTES * 60
-    return _scan(documents, "station_status",
-                 F.date_format(F.timestamp_seconds(seconds), "yyyyMMdd_HHmmss"))
+    return documents.withColumn("stamp", F.timestamp_seconds(seconds))
+
+
+def event_status(tables: Tables, where: str = "true") -> DataFrame:
+    """The status documents (those for which ``where`` holds) as scanned."""
+    return _scan(status_documents(tables).filter(where), "station_status",
+                 F.date_format("stamp", "yyyyMMdd_HHmmss"))
 
 
 READING_SQL = f"""
@@ -119,12 +132,15 @@ def reading_build(tables: Tables) -> DataFrame:
     return _without_zone(readings, "date_collecte", "dernier_signalement").drop("id_releve")
 
 
-def customer_information(tables: Tables) -> DataFrame:
-    documents = pack(tables("customer"), "c_custkey", [
+def customer_documents(tables: Tables) -> DataFrame:
+    return pack(tables("customer"), "c_custkey", [
         F.col("c_custkey").alias("station_id"), F.col("c_mktsegment").alias("stationCode"),
         F.col("c_name").alias("name"), F.lit(48.5).alias("lat"), F.lit(2.5).alias("lon"),
         F.col("c_nationkey").alias("capacity"), F.lit("24/7").alias("station_opening_hours")])
-    return _scan(documents, "station_information", F.lit("20240101_000000"))
+
+
+def customer_information(tables: Tables) -> DataFrame:
+    return _scan(customer_documents(tables), "station_information", F.lit("20240101_000000"))
 
 
 def loaded_warehouse(tables: Tables) -> Warehouse:
@@ -136,7 +152,7 @@ def loaded_warehouse(tables: Tables) -> Warehouse:
     return warehouse
 
 
-@query("medallion_current", f"""
+CURRENT_SQL = f"""
     WITH reading AS ({READING_SQL})
     SELECT id_station, c_name AS nom, 48.5::DOUBLE AS latitude, 2.5::DOUBLE AS longitude,
            CAST(c_nationkey AS BIGINT) AS capacite, velos_disponibles, bornes_disponibles,
@@ -148,12 +164,9 @@ def loaded_warehouse(tables: Tables) -> Warehouse:
            date_collecte AS derniere_collecte
     FROM reading r JOIN customer ON c_custkey = id_station
     WHERE date_collecte = (SELECT max(date_collecte) FROM reading m
-                           WHERE m.id_station = r.id_station)""")
-def medallion_current(tables: Tables) -> DataFrame:
-    return _without_zone(loaded_warehouse(tables).current.read(), "derniere_collecte")
+                           WHERE m.id_station = r.id_station)"""
 
-
-@query("medallion_hourly", f"""
+HOURLY_SQL = f"""
     SELECT id_station, c_name AS nom, heure,
            ((200 * total + n) // (2 * n)) / 100.0::DOUBLE AS moy_velos_disponibles,
            CASE WHEN c_nationkey > 0
@@ -164,6 +177,85 @@ def medallion_current(tables: Tables) -> DataFrame:
                  CAST(sum(velos_disponibles) AS BIGINT) AS total, count(*) AS n,
                  CAST(sum(CASE WHEN velos_disponibles = 0 THEN 1 ELSE 0 END) AS BIGINT)
                      AS nb_fois_vide
-          FROM ({READING_SQL}) GROUP BY 1, 2) JOIN customer ON c_custkey = id_station""")
+          FROM ({READING_SQL}) GROUP BY 1, 2) JOIN customer ON c_custkey = id_station"""
+
+
+@query("medallion_current", CURRENT_SQL)
+def medallion_current(tables: Tables) -> DataFrame:
+    return _without_zone(loaded_warehouse(tables).current.read(), "derniere_collecte")
+
+
+@query("medallion_hourly", HOURLY_SQL)
 def medallion_hourly(tables: Tables) -> DataFrame:
     return loaded_warehouse(tables).hourly.read()
+
+
+@query("medallion_cycles", HOURLY_SQL)
+def medallion_cycles(tables: Tables) -> DataFrame:
+    """Three cycles: half of the documents, then some of these again with others, then the rest,
+    each of which is older than documents seen before."""
+    warehouse = Warehouse(tables.spark, scratch_dir(tables.spark, "warehouse"))
+    for day, where in ((29, "chunk % 4 < 2"), (30, "chunk % 4 IN (1, 2)"), (31, "chunk % 4 = 3")):
+        run_batch(warehouse, customer_information(tables), event_status(tables, where),
+                  datetime(2024, 1, day, tzinfo=timezone.utc), Settings(rows=(1, 10**12)))
+    return warehouse.hourly.read()
+
+
+def fed_warehouse(tables: Tables) -> Warehouse:
+    """Documents landed and consumed by the feed, which is stopped and started again: first three
+    of four, then one of them again with those left out, which are late by then."""
+    spark = tables.spark
+    root = scratch_dir(spark, "feed")
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+
+    def landed(documents: DataFrame, feed: str) -> None:
+        land(documents.withColumn("feed", F.lit(feed)), f"{root}/bronze", "feed", "stamp", "payload")
+
+    landed(customer_documents(tables).withColumn("stamp", F.lit("2024-01-01").cast("timestamp")), INFORMATION)
+    for where in ("chunk % 4 <> 2", "chunk % 4 IN (1, 2)"):
+        landed(status_documents(tables).filter(where), STATUS)
+        start_feed(warehouse, f"{root}/bronze/feed={INFORMATION}", f"{root}/bronze/feed={STATUS}",
+                   f"{root}/checkpoint", Settings(rows=(1, 10**12))).awaitTermination()
+    return warehouse
+
+
+@query("stream_medallion", CURRENT_SQL)
+def stream_medallion(tables: Tables) -> DataFrame:
+    return _without_zone(fed_warehouse(tables).current.read(), "derniere_collecte")
+
+
+@query("stream_monitoring", f"""
+    WITH reading AS ({READING_SQL}),
+    numbered AS (SELECT *, CAST(epoch(date_collecte - TIMESTAMP '2024-01-01') AS BIGINT)
+                           // {CADENCE_MINUTES * 60} % 4 AS part FROM reading)
+    SELECT 'pipeline_runs' AS log, 'silver_transformation' AS name, 'success' AS outcome,
+           count(*) FILTER (part <> 2) AS n FROM numbered
+    UNION ALL SELECT 'pipeline_runs', 'silver_transformation', 'success', count(*) FILTER (part = 2) FROM numbered
+    UNION ALL SELECT 'pipeline_runs', 'gold_transformation', 'success',
+              count(DISTINCT id_station) FILTER (part <> 2) FROM numbered JOIN customer ON c_custkey = id_station
+    UNION ALL SELECT 'pipeline_runs', 'gold_transformation', 'success',
+              count(DISTINCT id_station) FROM numbered JOIN customer ON c_custkey = id_station
+    UNION ALL SELECT 'ge_validation_results', s, 'true', 2
+              FROM (SELECT unnest(['bronze_suite', 'silver_station_suite', 'silver_releve_suite', 'gold_suite']) AS s)
+    UNION ALL SELECT 'data_freshness', 'station_information', '2024-01-01 00:00:00', 3
+    UNION ALL SELECT 'data_freshness', 'station_status', strftime(newest, '%Y-%m-%d %H:%M:%S'), count(*) FROM (
+        SELECT max(date_collecte) AS newest FROM numbered WHERE part <> 2
+        UNION ALL SELECT max(date_collecte) FROM numbered WHERE part IN (1, 2)
+        UNION ALL SELECT max(date_collecte) FROM numbered) GROUP BY newest""")
+def stream_monitoring(tables: Tables) -> DataFrame:
+    """What both runs of the feed have logged, and a check of freshness by the clock after them."""
+    warehouse = fed_warehouse(tables)
+    check_freshness(warehouse, datetime(2024, 1, 31, tzinfo=timezone.utc))
+    log = warehouse.log
+    runs = log.run_table.read().select(
+        F.lit("pipeline_runs").alias("log"), F.col("dag_id").alias("name"),
+        F.col("status").alias("outcome"), F.col("records_processed").alias("n"))
+    counted = [
+        (log.validation_table, "ge_validation_results", "suite_name", F.col("success").cast("string")),
+        (log.freshness_table, "data_freshness", "source_name",
+         F.date_format("last_record_time", "yyyy-MM-dd HH:mm:ss"))]
+    for table, log_name, name, outcome in counted:
+        runs = runs.unionByName(table.read().groupBy(
+            F.lit(log_name).alias("log"), F.col(name).alias("name"), outcome.alias("outcome")).agg(
+            F.count(F.lit(1)).alias("n")))
+    return runs

@@ -71,10 +71,47 @@ def insert_ignore(tables: Tables) -> DataFrame:
                  .withColumn("delivery", F.lit(1)))
     batch = events.filter(F.col("ts") >= bound(date(2024, 1, 10))).withColumn(
         "delivery", F.lit(2))
-    table.append(insert_new(table.read_span(table.span_of(batch)), batch, ["user_id", "ts"]))
+    table.append(insert_new(table.colliding(batch), batch, ["user_id", "ts"]))
     return table.read()
 
 
+@query("insert_ignore_straggler", """
+    SELECT user_id, ts, event_id, 1::BIGINT AS delivery FROM events
+    UNION ALL SELECT user_id, ts - INTERVAL 365 DAY, event_id, 2::BIGINT FROM events
+    WHERE CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM events)""")
+def insert_ignore_straggler(tables: Tables) -> DataFrame:
+    """A batch of the newest day again and of a day a year before: only these two are opened."""
+    table = AppendTable(tables.spark, scratch_dir(tables.spark, "delivered"), DELIVERED, "ts")
+    events = tables("events").select("user_id", "ts", "event_id")
+    table.append(events.withColumn("delivery", F.lit(1)))
+    first, last = events.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    year = F.expr("INTERVAL 365 DAYS")
+    late = events.filter(F.to_date("ts") == F.lit(first)).withColumn("ts", F.col("ts") - year)
+    batch = events.filter(F.to_date("ts") == F.lit(last)).unionByName(late).withColumn("delivery", F.lit(2))
+    for _ in range(2):
+        table.append(insert_new(table.colliding(batch), batch, ["user_id", "ts"]))
+    return table.read()
+
+
+@query("compacted_log", """
+    SELECT CAST(ts AS DATE)::VARCHAR AS day, count(*) AS events, sum(event_id)::BIGINT AS ids,
+           CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) AS packed
+    FROM events GROUP BY 1, 4""")
+def compacted_log(tables: Tables) -> DataFrame:
+    """A log appended in many small batches, its closed days packed into a file each; then the
+    rest of its rows arrives."""
+    table = AppendTable(tables.spark, scratch_dir(tables.spark, "log"), DELIVERED, "ts")
+    events = tables("events").select("user_id", "ts", "event_id").withColumn("delivery", F.lit(1))
+    for k in range(4):
+        table.append(events.filter(F.col("event_id") % 5 == k))
+    last = events.agg(F.max("ts").cast("date")).first()[0]
+    packed = table.compact(last)
+    table.append(events.filter(F.col("event_id") % 5 == 4))
+    return table.read().groupBy(F.to_date("ts").alias("d")).agg(
+        F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("ids")).select(
+        F.col("d").cast("string").alias("day"), "events", "ids", F.col("d").isin(packed).alias("packed"))
+
+
 BALANCE = T.StructType([
     T.StructField("c_mktsegment", T.StringType(), False),
     T.StructField("customers", T.LongType(), False),

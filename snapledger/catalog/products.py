@@ -12,6 +12,7 @@ from ..operators import (
     current_state,
     hourly_partials,
     hourly_profile,
+    latest,
     latest_one,
     network_kpis,
     partials_to_profile,
@@ -87,6 +88,17 @@ def latest_event_per_user(tables: Tables) -> DataFrame:
     return newest.join(usage_dimension(tables).drop("capacity"), "user_id")
 
 
+@query("latest_ties", """
+    SELECT l_returnflag, shipped, l_orderkey, l_linenumber FROM (
+        SELECT *, date_trunc('quarter', l_shipdate)::TIMESTAMP AS shipped FROM lineitem)
+    QUALIFY rank() OVER (PARTITION BY l_returnflag ORDER BY shipped DESC) = 1""")
+def latest_ties(tables: Tables) -> DataFrame:
+    """Few keys with masses of rows at the greatest instant, dealt over tasks."""
+    lines = tables("lineitem").select("l_returnflag", F.date_trunc("quarter", "l_shipdate").cast(
+        "timestamp_ntz").alias("shipped"), "l_orderkey", "l_linenumber")
+    return latest(lines, ["l_returnflag"], "shipped", spread=32)
+
+
 def _profile_sql(fact: str, key: str, label: str, capacity: str, value: str, bucket: str) -> str:
     return f"""
     SELECT {key}, {label}, bucket,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.monitoring import (
     freshness,
@@ -15,6 +16,8 @@ from ..plans.monitoring import (
     resolved,
     run_history,
 )
+from ..session import scratch_dir
+from ..sources import AppendTable
 from .products import props_k
 from .quality import ALERTS_SQL, line_alerts
 from .registry import Tables, query
@@ -113,6 +116,19 @@ def validations(tables: Tables) -> DataFrame:
         (F.col("value") >= 50).alias("success")))
 
 
+@query("recent_runs_lookback", """
+    SELECT event_type AS dag_id, ts AS start_time, event_id AS run_id FROM events
+    WHERE event_type = 'purchase' ORDER BY ts DESC, event_id LIMIT 20""")
+def recent_lookback(tables: Tables) -> DataFrame:
+    """The same over a log kept by day: days are opened from the newest on, until 20 are found."""
+    table = AppendTable(tables.spark, scratch_dir(tables.spark, "runs"), T.StructType.fromDDL(
+        "dag_id string not null, start_time timestamp_ntz not null, run_id long not null"), "start_time")
+    table.append(tables("events").select(F.col("event_type").alias("dag_id"),
+                                         F.col("ts").alias("start_time"), F.col("event_id").alias("run_id")))
+    purchases = table.newest(20, F.col("dag_id") == "purchase")
+    return recent(purchases, "start_time", 20, "run_id")
+
+
 @query("recent_runs", """
     SELECT event_type, ts, event_id, value FROM events WHERE event_type = 'purchase'
     ORDER BY ts DESC, event_id LIMIT 20""")

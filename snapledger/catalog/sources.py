@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import to_long_or_null, to_number_or_null
 from ..session import scratch_dir
 from ..sources import (
+    document_structure,
+    drift,
     element_profile,
     entity_columns,
     explode_payload,
@@ -21,6 +23,7 @@ from ..sources import (
     latest_file,
     project_required,
     read_envelope,
+    sort_out,
 )
 from ..sources.landing import LANDED_GLOB
 from .products import props_k
@@ -118,6 +121,49 @@ def latest_landing(tables: Tables) -> DataFrame:
         to_long_or_null(F.col("total")).alias("total"))
 
 
+@query("damaged_documents", f"""
+    SELECT event_id // {PER_DOCUMENT} AS chunk,
+           CASE event_id // {PER_DOCUMENT} % 5 WHEN 0 THEN 'malformed document'
+                WHEN 1 THEN 'document without data.stations' WHEN 2 THEN 'empty document' END AS reason,
+           count(*) FILTER (event_id // {PER_DOCUMENT} % 5 > 2) AS elements
+    FROM events GROUP BY 1, 2""")
+def damaged_documents(tables: Tables) -> DataFrame:
+    """Of every five documents one has lost its end, one its array and one all; the others go on."""
+    kind = F.col("chunk") % 5
+    documents = event_documents(tables).withColumn("payload", (
+        F.when(kind == 0, F.expr("left(payload, length(payload) - 9)"))
+        .when(kind == 1, F.replace("payload", F.lit('"stations"'), F.lit('"others"')))
+        .when(kind == 2, F.lit(" ")).otherwise(F.col("payload"))))
+    sound, damaged = sort_out(documents)
+    counted = explode_payload(sound, "payload").groupBy("chunk").agg(F.count(F.lit(1)).alias("elements"))
+    return counted.select("chunk", F.lit(None).cast("string").alias("reason"), "elements").unionByName(
+        damaged.select("chunk", "reason", F.lit(0).cast("long").alias("elements")))
+
+
+@query("feed_drift", f"""
+    WITH last AS (SELECT max(event_id // {PER_DOCUMENT}) AS n FROM events),
+    changes AS (SELECT 2 AS chunk, 'value' AS key, 'removed' AS change, 'DOUBLE' AS before, NULL AS after
+          UNION ALL SELECT 2, 'k', 'added', NULL, 'BIGINT' UNION ALL SELECT 4, 'k', 'removed', 'BIGINT', NULL
+          UNION ALL SELECT 4, 'value', 'added', NULL, 'STRING'
+          UNION ALL SELECT 6, 'value', 'type', 'STRING', 'DOUBLE')
+    SELECT 'events' AS feed, c.chunk::BIGINT AS chunk, key, change, before, after
+    FROM changes c, last WHERE c.chunk <= n""")
+def feed_drift(tables: Tables) -> DataFrame:
+    """Snapshots in which a measure goes, comes back as text, and is a number again."""
+    kind = F.floor(F.col("event_id") / PER_DOCUMENT / 2)
+    events = tables("events").withColumn("k", props_k())
+
+    def documents(rows: DataFrame, fields: list[Column]) -> DataFrame:
+        return pack(rows, "event_id", [F.col("user_id").alias("stationCode"), *fields])
+
+    number, text = (F.col("value") + 0.5).alias("value"), F.concat(F.lit("v"), "value").alias("value")
+    packed = (documents(events.filter((kind == 0) | (kind > 2)), [number])
+              .unionByName(documents(events.filter(kind == 1), [F.col("k")]))
+              .unionByName(documents(events.filter(kind == 2), [text])))
+    structures = document_structure(packed.withColumn("feed", F.lit("events")), "payload")
+    return drift(structures, ["feed"], ["chunk"])
+
+
 @query("json_profile", """
     SELECT 'k' AS key, count(*) AS occurrences,
            count(*) FILTER (json_extract_string(props, '$.k') IS NULL) AS nulls,
@@ -155,7 +201,8 @@ def document_profile(tables: Tables) -> DataFrame:
 @query("element_profile", """
     SELECT unnest(['id', 'stationCode', 'name', 'value', 'nested']) AS key,
            count(*) AS occurrences,
-           unnest([0, 0, 0, count(*) FILTER (event_type = 'error'), 0])::BIGINT AS nulls
+           unnest([0, 0, 0, count(*) FILTER (event_type = 'error'), 0])::BIGINT AS nulls,
+           unnest(['BIGINT', 'BIGINT', 'STRING', 'DOUBLE', 'OBJECT<k: BIGINT>']) AS inferred_type
     FROM events""")
 def column_profile(tables: Tables) -> DataFrame:
-    return element_profile(event_documents(tables), "payload").drop("inferred_type")
+    return element_profile(event_documents(tables), "payload")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import dedup_batch, hourly_partials, insert_new, partials_to_profile
 from ..session import scratch_dir
-from ..sources import AppendTable, staging
+from ..sources import AppendTable, VersionedTable, staging
+from ..streaming import latest_state, start_latest
 from .merging import DELIVERED
 from .products import HOURLY_SQL, USAGE, props_k, usage_dimension
 from .registry import Tables, query
@@ -39,6 +41,29 @@ def stream_hourly_profile(tables: Tables) -> DataFrame:
     return partials_to_profile(tables.spark.read.parquet(path), usage_dimension(tables), USAGE)
 
 
+LATEST = T.StructType([
+    T.StructField("user_id", T.LongType(), False), T.StructField("ts", T.TimestampNTZType(), False),
+    T.StructField("event_id", T.LongType(), False), T.StructField("value", T.DoubleType(), True)])
+
+
+@query("stream_current", """
+    SELECT user_id, ts, event_id, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1""")
+def stream_current(tables: Tables) -> DataFrame:
+    """Latest event per user as a stateful stream: three deliveries dealt by id, so that each holds
+    rows later and earlier than those before, with a restart from the state after each."""
+    spark = tables.spark
+    table = VersionedTable(spark, scratch_dir(spark, "latest"), LATEST)
+    landed, checkpoint = scratch_dir(spark, "stream-landed"), scratch_dir(spark, "checkpoint")
+    events = tables("events").select(*LATEST.fieldNames())
+    for k in range(3):
+        events.filter(F.col("event_id") % 3 == k).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(LATEST).parquet(landed)
+        start_latest(latest_state(stream, ["user_id"], "ts", first=["event_id"]), table, ["user_id"],
+                     checkpoint).awaitTermination()
+    return table.read()
+
+
 @query("stream_insert_ignore", """
     SELECT user_id, ts, event_id, 1::BIGINT AS delivery FROM events""")
 def stream_insert_ignore(tables: Tables) -> DataFrame:
@@ -56,8 +81,7 @@ def stream_insert_ignore(tables: Tables) -> DataFrame:
     def consume(batch: DataFrame, batch_id: int) -> None:
         with staging(spark) as stage:
             rows = stage(dedup_batch(batch, ["user_id", "ts"]).withColumn("delivery", F.lit(1)))
-            stored = table.read_span(table.span_of(rows))
-            table.append(insert_new(stored, rows, ["user_id", "ts"]))
+            table.append(insert_new(table.colliding(rows), rows, ["user_id", "ts"]))
 
     _drain(stream, consume, scratch_dir(spark, "checkpoint"))
     return table.read()

@@ -78,8 +78,8 @@ def build_station(bronze: DataFrame) -> DataFrame:
     return conform(dedup_first(keyed, ["id_station"], arrival), STATION)
 
 
-def build_readings(bronze: DataFrame, instant: datetime | Column) -> DataFrame:
-    """Reading fact.  ``instant`` is the batch instant, one per snapshot."""
+def typed_readings(bronze: DataFrame, instant: datetime | Column) -> DataFrame:
+    """Complete readings with typed columns, repeats included; works on a stream as well."""
     fields = {**STATUS_FIELDS, BIKE_TYPES_FIELD: "types"}
     renamed = (project_required(bronze, [*ORIGIN, *fields]).withColumnsRenamed(fields)
                .withColumn("date_collecte", batch_instant(instant)))
@@ -91,12 +91,16 @@ def build_readings(bronze: DataFrame, instant: datetime | Column) -> DataFrame:
         "dernier_signalement": epoch_to_timestamp(
             to_number_or_null(F.col("dernier_signalement"))),
     })
-    filled = drop_incomplete(typed, READING_KEY).withColumns({
+    return drop_incomplete(typed, READING_KEY).withColumns({
         **{c: to_int_or_zero(F.col(c)) for c in READING_COUNTS if c not in BIKE_TYPES},
         **{c: to_int_or_zero(flag_to_number(F.col(c))) for c in READING_FLAGS},
     })
+
+
+def build_readings(bronze: DataFrame, instant: datetime | Column) -> DataFrame:
+    """Reading fact.  ``instant`` is the batch instant, one per snapshot."""
     arrival = [F.col("file").asc(), F.col("pos").asc()]
-    unique = dedup_first(filled, READING_KEY, arrival)
+    unique = dedup_first(typed_readings(bronze, instant), READING_KEY, arrival)
     return conform(unique.withColumn("id_releve", packed_key(*READING_KEY)), READING)
 
 
@@ -139,6 +143,21 @@ def build_hourly(partials: DataFrame, stations: DataFrame) -> DataFrame:
     return conform(profile, HOURLY, HOURLY_DEFAULTS)
 
 
+def network_sql(table: str) -> str:
+    """:func:`network_view` as text, to be stored as a view in a catalog."""
+    return f"""
+        SELECT count(*) AS nb_stations_total,
+               sum(CASE WHEN est_vide THEN 1 ELSE 0 END) AS nb_stations_vides,
+               sum(CASE WHEN est_pleine THEN 1 ELSE 0 END) AS nb_stations_pleines,
+               round(sum(taux_disponibilite) / nullif(
+                   cast(count(taux_disponibilite) AS decimal(18,0)), cast(0 AS decimal(18,0))), 3)
+                   AS taux_disponibilite_moyen,
+               sum(velos_disponibles) AS total_velos_disponibles,
+               sum(bornes_disponibles) AS total_bornes_disponibles,
+               max(derniere_collecte) AS derniere_mise_a_jour
+        FROM {table}"""
+
+
 def network_view(current: DataFrame) -> DataFrame:
     return network_kpis(current, "velos_disponibles", "bornes_disponibles", "derniere_collecte",
                         "taux_disponibilite", "est_vide", "est_pleine").withColumnsRenamed({

@@ -9,6 +9,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.temporal import batch_instant
 from ..operators.merge import insert_new, upsert
 from ..operators.profiles import roll_up
 from ..quality.contract import verify
@@ -25,6 +26,7 @@ from ..quality.suites import (
 from ..schemas import (
     CURRENT,
     CURRENT_CONTRACT,
+    DAMAGED,
     HOURLY,
     HOURLY_CONTRACT,
     PARTIALS,
@@ -38,7 +40,7 @@ from ..schemas import (
     SUSPECT_STATION,
 )
 from ..sources.envelope import read_envelope
-from ..sources.landing import latest_file
+from ..sources.landing import LANDED_GLOB, latest_snapshot
 from ..sources.staging import Stage, stage_columns, staging
 from ..sources.tables import AppendTable, VersionedTable, first_day, overwrite_days
 from .bikeshare import (
@@ -51,13 +53,14 @@ from .bikeshare import (
     daily_partials,
     file_instant,
     known_latest,
-    network_view,
+    network_sql,
     unreadable_counts,
 )
 from .monitoring import MonitoringLog, freshness
 
 SILVER_DAG = "silver_transformation"
 GOLD_DAG = "gold_transformation"
+INFORMATION, STATUS = "station_information", "station_status"
 NETWORK_VIEW = "indicateurs_reseau"
 
 
@@ -88,15 +91,16 @@ class Settings:
 class Warehouse:
     """Where the tables live."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, database: str = "default"):
         root = root.rstrip("/")
-        self.spark = spark
+        self.spark, self.database = spark, database
         self.station = VersionedTable(spark, f"{root}/silver/station", STATION)
         self.reading = AppendTable(
             spark, f"{root}/silver/releve_disponibilite", READING, "date_collecte")
         self.rejected = AppendTable(
             spark, f"{root}/silver/releve_rejete", REJECTED_READING, "date_collecte")
         self.suspect = VersionedTable(spark, f"{root}/silver/station_suspecte", SUSPECT_STATION)
+        self.damaged = AppendTable(spark, f"{root}/bronze/damaged", DAMAGED, "file_time")
         self.partials_path = f"{root}/silver/partials_horaires"
         self.settled = VersionedTable(spark, f"{root}/silver/cumuls_horaires", SETTLED)
         self.current = VersionedTable(spark, f"{root}/gold/disponibilite_courante", CURRENT)
@@ -107,19 +111,27 @@ class Warehouse:
         return self.spark.read.schema(PARTIALS).parquet(self.partials_path)
 
     def define_views(self) -> None:
-        network_view(self.current.read()).createOrReplaceTempView(NETWORK_VIEW)
+        """Point the catalog at the published version.
+
+        The view is stored in the session catalog, so every session that shares it sees the
+        version of the last publication under the same name, and computes the view when it reads.
+        """
+        path = self.current.current_path()
+        if path:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{NETWORK_VIEW} AS "
+                           + network_sql(f"parquet.`{path}`"))
 
 
 def run_latest(wh: Warehouse, information_path: str, status_path: str, at: datetime,
-               settings: Settings = Settings(), glob: str = "*.json",
+               settings: Settings = Settings(), glob: str = LANDED_GLOB,
                instant: datetime | Column | None = None) -> None:
-    """One cycle over the newest document of each feed.
+    """One cycle over the newest snapshot of each feed.
 
     ``instant`` defaults to the document's own stamp, so that a repeat changes nothing;
     pass ``at`` to stamp readings with the time of the run instead.
     """
-    information = read_envelope(wh.spark, latest_file(wh.spark, information_path, glob), glob=glob)
-    status = read_envelope(wh.spark, latest_file(wh.spark, status_path, glob), glob=glob)
+    information, status = (read_envelope(wh.spark, latest_snapshot(wh.spark, path, glob), glob=glob)
+                           for path in (information_path, status_path))
     run_batch(wh, information, status, at, settings, instant)
 
 
@@ -160,7 +172,8 @@ def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: dat
         bronze = stage_columns(stage, status, STATUS_COLUMNS)
         validate(spark, bronze, bronze_suite(settings.rows), "bronze_suite", SILVER_DAG, at, log,
                  snapshot="file", element="pos")
-        station = stage(build_station(stage_columns(stage, information, INFORMATION_COLUMNS)))
+        described = stage_columns(stage, information, INFORMATION_COLUMNS)
+        station = stage(build_station(described))
         reading = stage(build_readings(bronze, file_instant() if instant is None else instant))
         validate(spark, station, station_suite(settings.rows, settings.variant),
                  "silver_station_suite", SILVER_DAG, at, log)
@@ -174,7 +187,9 @@ def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: dat
         if settings.known_stations:
             parents = parents.unionByName(wh.station.read().select("id_station"))
         verify(reading, READING_CONTRACT, {"station": parents})
-        return merge_silver(wh, station, reading, at, settings)
+        merged = merge_silver(wh, station, reading)
+        log_freshness(wh, described, reading, at, settings)
+        return merged
 
 
 def set_aside(wh: Warehouse, stage: Stage, station: DataFrame, reading: DataFrame,
@@ -184,28 +199,36 @@ def set_aside(wh: Warehouse, stage: Stage, station: DataFrame, reading: DataFram
     wh.suspect.replace(suspects)
     marked = stage(mark(reading, reading_suite(settings.rows)))
     bad = rejected(marked)
-    known = wh.rejected.read_span(wh.rejected.span_of(bad))
-    wh.rejected.append(insert_new(known, bad, READING_KEY))
+    wh.rejected.append(insert_new(wh.rejected.colliding(bad), bad, READING_KEY))
     return valid(marked)
 
 
-def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame, at: datetime,
-                 settings: Settings) -> tuple[int, date | None]:
+def merge_silver(wh: Warehouse, station: DataFrame, reading: DataFrame) -> tuple[int, date | None]:
     """Upsert the dimension, then append the readings not yet stored."""
     wh.station.replace(upsert(wh.station.read(), station, ["id_station"]))
     span = wh.reading.span_of(reading)
-    count = wh.reading.append(insert_new(wh.reading.read_span(span), reading, READING_KEY))
-    source = reading.withColumn("source", F.lit("station_status"))
-    wh.log.freshness(freshness(source, "source", "date_collecte", at, settings.fresh_minutes))
+    count = wh.reading.append(insert_new(wh.reading.colliding(reading, span), reading, READING_KEY))
     return count, span and first_day(span)
 
 
+def log_freshness(wh: Warehouse, information: DataFrame, reading: DataFrame, at: datetime,
+                  settings: Settings) -> None:
+    """How old the newest snapshot of each feed is."""
+    seen = reading.select(F.lit(STATUS).alias("source"), F.col("date_collecte").alias("instant"))
+    seen = seen.unionByName(information.select(
+        F.lit(INFORMATION).alias("source"), batch_instant(file_instant()).alias("instant")))
+    wh.log.freshness(freshness(seen, "source", "instant", at, settings.fresh_minutes))
+
+
 def check_freshness(wh: Warehouse, at: datetime, settings: Settings = Settings()) -> None:
-    """Log the freshness of the stored readings, to be called on a timer: it needs no batch, so
-    a feed that has gone silent is reported as well.  Nothing is logged before the first reading.
+    """Log the freshness of both feeds by what is stored, to be called on a timer: it needs no
+    batch, so a feed that has gone silent is reported as well.  A feed never read is not reported.
     """
-    stored = wh.current.read().withColumn("source", F.lit("station_status"))
-    wh.log.freshness(freshness(stored, "source", "derniere_collecte", at,
+    known = wh.log.last_records([INFORMATION, STATUS]).select(
+        F.col("source_name").alias("source"), F.col("last_record_time").alias("instant"))
+    stored = wh.current.read().select(
+        F.lit(STATUS).alias("source"), F.col("derniere_collecte").alias("instant"))
+    wh.log.freshness(freshness(known.unionByName(stored), "source", "instant", at,
                                settings.fresh_minutes))
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,8 +59,7 @@ class MonitoringLog:
 
     def _append(self, table: AppendTable, entries: DataFrame) -> None:
         if self.repeated:
-            stored = table.read_span(table.span_of(entries))
-            entries = insert_new(stored, entries, ["id"])
+            entries = insert_new(table.colliding(entries), entries, ["id"])
         table.append(entries)
 
     def validations(self, rows: Sequence[dict]) -> None:
@@ -77,11 +77,13 @@ class MonitoringLog:
 
     def run(self, **row) -> None:
         """One attempt.  A retried run may have several; :meth:`runs` makes (dag, run) unique.
-        While ``repeated`` is set, a run that has succeeded is not logged again."""
+        While ``repeated`` is set, a run that has succeeded is not logged again; run ids are
+        instants, and no attempt is logged before its run's day."""
         entry = self._rows([row], RUNS, ["dag_id", "run_id", "start_time"])
         verify(entry, replace(RUNS_CONTRACT, unique=()))
         if self.repeated:
-            done = self.run_table.read().filter("status = 'success'")
+            first = datetime.fromisoformat(row["run_id"]).date() - timedelta(days=1)  # clocks differ
+            done = self.run_table.read(first).filter("status = 'success'")
             entry = insert_new(done, entry, ["dag_id", "run_id"])
         self.run_table.append(entry)
 
@@ -102,6 +104,27 @@ class MonitoringLog:
         verify(rows, FRESHNESS_CONTRACT)
         self._append(self.freshness_table, rows)
 
+    def recent_runs(self, size: int, dag: str | None = None) -> DataFrame:
+        """The newest ``size`` attempts (of ``dag``); only as many days are read as are needed."""
+        where = None if dag is None else F.col("dag_id") == dag
+        return recent(self.run_table.newest(size, where), "start_time", size, "dag_id", "run_id")
+
+    def recent_open_alerts(self, size: int, days: int | None = None) -> DataFrame:
+        """The newest ``size`` open alerts (of the last ``days`` days of the log).
+
+        A resolution is stored on the day of its alert, so whether an alert is open can be told
+        from its day alone.
+        """
+        stored = self.alert_table.days()
+        since = stored[-days] if days and days < len(stored) else None
+        return recent_open_alerts(last_state(self.alert_table.read(since)), size)
+
+    def last_records(self, sources: Sequence[str]) -> DataFrame:
+        """source_name and the newest last_record_time logged for each source."""
+        found = [self.freshness_table.newest(1, F.col("source_name") == s)
+                 .select("source_name", "last_record_time") for s in sources]
+        return reduce(DataFrame.unionByName, found)
+
     def runs(self) -> DataFrame:
         """One row per (dag, run): a retried run shows its last attempt."""
         return latest_one(self.run_table.read(), ["dag_id", "run_id"],

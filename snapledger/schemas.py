@@ -129,6 +129,14 @@ PARTIALS = _struct(
 SETTLED = _struct(*[(f.name, f.dataType) for f in PARTIALS.fields if f.name != "day"],
                   ("through", _DATE))
 
+# --- bronze -------------------------------------------------------------------------------
+
+# Documents that could not be read, whole, so that they can be mended and read again.
+DAMAGED = _struct(
+    ("file", _TEXT, False), ("file_time", _TIME, False), ("payload", _TEXT), ("reason", _TEXT, False),
+    ("found_at", _TIME, False))
+DAMAGED_KEY = ["file", "file_time"]
+
 # --- monitoring ---------------------------------------------------------------------------
 
 RUNS = _struct(

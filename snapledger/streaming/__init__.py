@@ -1,5 +1,6 @@
 """Structured Streaming: the same runs, fed by newly landed files."""
 
-from .feed import start_feed
+from .current import latest_state, start_current, start_latest
+from .feed import replay, start_feed, start_freshness
 
-__all__ = ["start_feed"]
+__all__ = ["latest_state", "replay", "start_current", "start_feed", "start_freshness", "start_latest"]

@@ -113,8 +113,9 @@ def test_monitoring(loaded):
     assert history[SILVER_DAG].runs == 2 and history[SILVER_DAG].failures == 0
     assert history[SILVER_DAG].records == 4 and history[GOLD_DAG].records == 6
     assert history[GOLD_DAG].last_status == "success"
-    assert rows(wh.log.freshness_table.read(), "delay_minutes", "is_fresh") == \
-        [(Decimal("1.00"), True)] * 2
+    assert rows(wh.log.freshness_table.read(), "source_name", "delay_minutes", "is_fresh") == [
+        ("station_information", Decimal("1.00"), True), ("station_information", Decimal("6.00"), True),
+        ("station_status", Decimal("1.00"), True), ("station_status", Decimal("1.00"), True)]
 
 
 def test_empty_snapshot_stops_the_run(spark, tmp_path):
@@ -138,7 +139,7 @@ def test_silent_feed_is_reported(spark, tmp_path):
     run()
     medallion.check_freshness(wh, at(12), SETTINGS)
     assert rows(wh.log.freshness_table.read(), "delay_minutes", "is_fresh") == [
-        (Decimal("1.00"), True), (Decimal("240.00"), False)]
+        (Decimal("1.00"), True)] * 2 + [(Decimal("240.00"), False)] * 2
 
 
 def test_replay_changes_nothing(loaded):

@@ -1,5 +1,6 @@
 import random
-from datetime import date, datetime
+import re
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -285,7 +286,7 @@ TABLE = T.StructType([T.StructField("k", T.LongType(), False), T.StructField("v"
 
 
 def test_versioned_table(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), TABLE, keep=2)
+    table = VersionedTable(spark, str(tmp_path / "t"), TABLE)
     assert table.read().count() == 0 and table.read().schema == TABLE
     table.replace(spark.createDataFrame([(1, "a")], TABLE))
     reader = table.read()
@@ -299,8 +300,11 @@ def test_versioned_table(spark, tmp_path):
     assert rows(table.read()) == [(1, "a"), (2, "b")]
     for i in range(4):
         table.replace(spark.createDataFrame([(i, "x")], TABLE))
-    assert rows(table.read()) == [(3, "x")]
-    assert len(table.versions()) == 2
+    assert rows(table.read()) == [(3, "x")] and rows(reader) == [(1, "a")]
+    assert len(table.versions()) == 6
+    hasty = VersionedTable(spark, str(tmp_path / "t"), TABLE, keep=timedelta(0))
+    hasty.replace(hasty.read())
+    assert rows(table.read()) == [(3, "x")] and len(table.versions()) == 1
 
 
 def test_a_version_is_checked_before_it_is_published(spark, tmp_path):
@@ -333,6 +337,11 @@ def test_a_second_writer_of_a_version_is_refused(spark, tmp_path):
     assert rows(one.read()) == [(4, "d")]
 
 
+def formatted(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
 LOG = T.StructType([T.StructField("t", T.TimestampType(), False),
                     T.StructField("v", T.IntegerType(), False)])
 
@@ -343,14 +352,15 @@ def test_append_table_prunes_days(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2026, 1, d, 12), d) for d in range(1, 9)], LOG)
     assert table.append(df) == 8
     assert table.append(df.limit(0)) == 0
-    assert table.span_of(df.limit(0)) is None and table.read_span(None).count() == 0
+    assert table.span_of(df.limit(0)) is None and table.colliding(df.limit(0)).count() == 0
     span = table.span_of(df.filter("v IN (2, 4)"))
     assert span == ("2026-01-02 12:00:00", "2026-01-04 12:00:00")
-    assert rows(table.read_span(span), "v") == [(2,), (3,), (4,)]
-    assert "GreaterThanOrEqual(t," in plan(table.read_span(span))
+    batch = df.filter("v IN (2, 4)")
+    assert rows(table.colliding(batch), "v") == rows(table.colliding(batch, span), "v") == [(2,), (4,)]
+    assert "GreaterThanOrEqual(t," in plan(table.colliding(batch))
     recent = table.read(date(2026, 1, 3), date(2026, 1, 4))
     assert rows(recent, "v") == [(3,), (4,)]
-    assert "PartitionFilters: [isnotnull(day" in plan(recent)
+    assert re.search(r"PartitionFilters: \[.*day#\d+ >= 2026-01-03", formatted(recent))
     assert len(recent.inputFiles()) == 8  # one file per day, whatever the number of tasks
 
 

@@ -75,7 +75,8 @@ def test_staged_tables_are_removed(spark, tmp_path):
 def test_latest_file(spark, tmp_path):
     old = write(tmp_path, "b", "20260101_090000", [])
     new = write(tmp_path, "a", "20260101_080000", [])
-    (tmp_path / "ignored.txt").write_text("{}")
+    (tmp_path / "ignored.xsd").write_text("{}")
+    (tmp_path / "_ignored.json").write_text("{}")
     os.utime(old, (1000, 1000))
     os.utime(new, (2000, 2000))
     assert latest_file(spark, str(tmp_path)).endswith("a_20260101_080000.json")
@@ -92,7 +93,7 @@ def test_landing_keeps_every_payload_whole(spark, tmp_path):
                                "payload string, feed string, at string").coalesce(1) \
         .withColumn("at", F.col("at").cast("timestamp"))
     land(df, str(tmp_path / "l"), "feed", "at", "payload")
-    texts = spark.read.text(str(tmp_path / "l" / "feed=f" / "batch_ts=20260101_080000"),
+    texts = spark.read.text(str(tmp_path / "l" / "feed=f" / "day=2026-01-01" / "batch_ts=20260101_080000"),
                             wholetext=True)
     assert sorted(r.value.rstrip("\n") for r in texts.collect()) == sorted(payloads)
     back = read_envelope(spark, str(tmp_path / "l"), glob=LANDED_GLOB)
