@@ -4,7 +4,7 @@ import numpy as np
 
 from snapledger.llm import decontam, html, langid, linecrf
 
-from .frames import documents, prose
+from .frames import documents, prose, sf
 
 
 def test_quality_is_learned_from_long_texts(spark):
@@ -56,6 +56,31 @@ def test_every_sampled_document_is_in_the_dictionary(spark):
     assert all(name(k).encode() in data for k in range(langid.SAMPLE))
 
 
+def test_language_is_that_of_the_smallest_output(spark):
+    """Every document against plain calls of the library, one for each language and block."""
+    import zstandard
+    docs = sf(spark)
+    data = langid.learn(docs)
+    found = {r.doc_id: r for r in langid.identify(docs, docs).collect()}
+    checked = 0
+    for r in docs.collect():
+        if not r.text or not any(c.isalpha() for c in r.text):
+            assert found[r.doc_id].lang_pred == "und"
+            continue
+        raw, sizes = langid.normal(r.text), {}
+        for lang, content in data.items():
+            book = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes[lang] = sum(len(zstandard.ZstdCompressor(
+                dict_data=book, level=langid.LEVEL, write_content_size=False).compress(
+                raw[k:k + langid.BLOCK])) for k in range(0, len(raw), langid.BLOCK))
+        order = sorted(sizes, key=lambda k: (sizes[k], k))
+        assert found[r.doc_id].lang_pred == order[0]
+        score = 1 - sizes[order[0]] / sizes[order[1]]
+        assert abs(found[r.doc_id].score - score) < 1e-12
+        checked += 1
+    assert checked > 100
+
+
 def test_ends_of_long_texts_are_learned(spark):
     df = spark.createDataFrame([(k, "a " * 3000 + "zebra " * 3000, "xx") for k in range(60)],
                                "doc_id long, text string, lang string")
