@@ -56,7 +56,7 @@ def hourly_partials(readings: DataFrame, roles: Roles, bucket: Column | None = N
     return readings.groupBy(*groups).agg(
         F.sum(value).alias("total"),
         F.count(value).alias("values"),
-        F.sum(F.when(value == 0, 1).otherwise(0)).alias("times_empty"),
+        F.sum(F.when(F.col(roles.available) == 0, 1).otherwise(0)).alias("times_empty"),
         F.count(F.lit(1)).alias("observations"))
 
 
