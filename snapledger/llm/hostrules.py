@@ -100,7 +100,8 @@ def judge(documents: DataFrame, host: str = "source", rate: float = HOST_RATE) -
 
     A document is kept unless it fails the base rule or its host fails some rule, that is, its
     shrunk rate of failing documents is above ``rate``.  A null host is no host and gets no
-    verdict.  Empty and null texts have no words and fail the base rule.  Repeated rows are
+    verdict.  Empty and null texts have no words and fail the base rule.  A very long text is
+    measured whole, in its row.  Repeated rows are
     rows like others.  Only doc_id, text and the host column are read.
     """
     scratch = Scratch(documents.sparkSession, "hostrules")

@@ -52,6 +52,8 @@ _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|/([a-zA-Z][^\s/>]*)[^>]*>"
                   r"|([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
 _NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
+#: Names that tell what an element is beside or without, such as ``no-ads`` or ``with-sidebar``.
+_BESIDE = re.compile(r"\b(?:no|non|has|with|without)[-_][a-z]+")
 
 GOOD_TAGS, BAD_TAGS = frozenset({"article", "main"}), frozenset(
     "nav aside footer header form dialog menu button fieldset input".split())
@@ -159,7 +161,8 @@ def parse(page: str) -> Tree:
                             break
                 if name not in VOID:
                     found = _NAMES.findall(tag.group(3)) if tag.group(3) and name not in NAMELESS else ()
-                    names = frozenset(_PART.findall(" ".join(map("".join, found)).lower()))
+                    named = _BESIDE.sub(" ", " ".join(map("".join, found)).lower())
+                    names = frozenset(_PART.findall(named))
                     stack.append((name, tree.add(stack[-1][1], name, names, None)))
     flush()
     return tree
@@ -327,7 +330,8 @@ def extract(pages: DataFrame, model: Model) -> DataFrame:
 
     Blocks are joined by a line feed in page order; inside a block character references are
     decoded and white space becomes one space.  A null or empty page, or one without content,
-    has the empty text.  Repeated rows come out as often as they come in.
+    has the empty text.  A very long page is read whole, as one tree.  Repeated rows come out as
+    often as they come in.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

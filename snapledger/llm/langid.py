@@ -136,7 +136,7 @@ def identify(documents: DataFrame, labelled: DataFrame, margin: float = MARGIN,
     ``score`` is the share by which the best dictionary beats the second; with one language
     learned it is 1.  Equal sizes go to the first language by name with score 0.  A text that
     is null or has no letter, or any text when nothing was learned, is ``und``, score 0,
-    rejected.  Only the columns ``carry`` of ``documents`` are read, and the prediction sees the text
+    rejected.  A very long text is compressed whole, in blocks.  Only the columns ``carry`` of ``documents`` are read, and the prediction sees the text
     alone.  Repeated rows come out as often as they come in.
     """
     work = _classifier(learn(labelled), margin)

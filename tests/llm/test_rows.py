@@ -247,3 +247,10 @@ def test_awkward_pages(spark):
     assert got == sorted([(1, ""), (None, TEXT), (2, ""), (2, ""), (3, ("x " * 50000).strip())], key=str)
     none = pages.filter(F.lit(False))
     assert html.extract(none, html.learn(none)).collect() == []
+
+
+def test_names_of_what_is_not_there(spark):
+    article = f"<h1>Title</h1><p>{prose(4, 60)}.</p><p>{prose(5, 40)}.</p>"
+    for name in ("entry-content no-ads", "post has-sidebar with-comments", "content non_sponsored"):
+        page = f"<html><body><div class='{name}'>{article}</div><div class='ads'>Buy it now!</div></body></html>"
+        assert html.fit([]).extract(page) == f"Title\n{prose(4, 60)}.\n{prose(5, 40)}."
