@@ -227,7 +227,10 @@ def stream_medallion(tables: Tables) -> DataFrame:
 @query("stream_monitoring", f"""
     WITH reading AS ({READING_SQL}),
     numbered AS (SELECT *, CAST(epoch(date_collecte - TIMESTAMP '2024-01-01') AS BIGINT)
-                           // {CADENCE_MINUTES * 60} % 4 AS part FROM reading)
+                           // {CADENCE_MINUTES * 60} % 4 AS part FROM reading),
+    warned AS (  -- the docks of an error cannot be read, which is worth a warning in each batch
+        SELECT CAST(bool_or(part <> 2) AS BIGINT) + CAST(bool_or(part IN (1, 2)) AS BIGINT) AS n
+        FROM (SELECT event_id // {PER_DOCUMENT} % 4 AS part FROM events WHERE event_type = 'error'))
     SELECT 'pipeline_runs' AS log, 'silver_transformation' AS name, 'success' AS outcome,
            count(*) FILTER (part <> 2) AS n FROM numbered
     UNION ALL SELECT 'pipeline_runs', 'silver_transformation', 'success', count(*) FILTER (part = 2) FROM numbered
@@ -236,7 +239,11 @@ def stream_medallion(tables: Tables) -> DataFrame:
     UNION ALL SELECT 'pipeline_runs', 'gold_transformation', 'success',
               count(DISTINCT id_station) FROM numbered JOIN customer ON c_custkey = id_station
     UNION ALL SELECT 'ge_validation_results', s, 'true', 2
-              FROM (SELECT unnest(['bronze_suite', 'silver_station_suite', 'silver_releve_suite', 'gold_suite']) AS s)
+              FROM (SELECT unnest(['silver_station_suite', 'silver_releve_suite', 'gold_suite']) AS s)
+    UNION ALL SELECT 'ge_validation_results', 'bronze_suite', 'false', n FROM warned WHERE n > 0
+    UNION ALL SELECT 'ge_validation_results', 'bronze_suite', 'true', 2 - coalesce(n, 0) FROM warned
+              WHERE coalesce(n, 0) < 2
+    UNION ALL SELECT 'data_quality_alerts', 'bronze_suite', 'WARNING', n FROM warned WHERE n > 0
     UNION ALL SELECT 'data_freshness', 'station_information', '2024-01-01 00:00:00', 3
     UNION ALL SELECT 'data_freshness', 'station_status', strftime(newest, '%Y-%m-%d %H:%M:%S'), count(*) FROM (
         SELECT max(date_collecte) AS newest FROM numbered WHERE part <> 2
@@ -252,6 +259,7 @@ def stream_monitoring(tables: Tables) -> DataFrame:
         F.col("status").alias("outcome"), F.col("records_processed").alias("n"))
     counted = [
         (log.validation_table, "ge_validation_results", "suite_name", F.col("success").cast("string")),
+        (log.alert_table, "data_quality_alerts", "suite_name", F.col("severity")),
         (log.freshness_table, "data_freshness", "source_name",
          F.date_format("last_record_time", "yyyy-MM-dd HH:mm:ss"))]
     for table, log_name, name, outcome in counted:
