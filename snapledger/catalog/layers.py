@@ -193,11 +193,13 @@ def medallion_hourly(tables: Tables) -> DataFrame:
 @query("medallion_cycles", HOURLY_SQL)
 def medallion_cycles(tables: Tables) -> DataFrame:
     """Three cycles: half of the documents, then some of these again with others, then the rest,
-    each of which is older than documents seen before."""
+    each of which is older than documents seen before.  A cycle without a document is no cycle."""
     warehouse = Warehouse(tables.spark, scratch_dir(tables.spark, "warehouse"))
     for day, where in ((29, "chunk % 4 < 2"), (30, "chunk % 4 IN (1, 2)"), (31, "chunk % 4 = 3")):
-        run_batch(warehouse, customer_information(tables), event_status(tables, where),
-                  datetime(2024, 1, day, tzinfo=timezone.utc), Settings(rows=(1, 10**12)))
+        status = event_status(tables, where)
+        if not status.isEmpty():
+            run_batch(warehouse, customer_information(tables), status,
+                      datetime(2024, 1, day, tzinfo=timezone.utc), Settings(rows=(1, 10**12)))
     return warehouse.hourly.read()
 
 
