@@ -108,15 +108,32 @@ ITEMS = [(1, prose(3)), (2, prose(40)), (3, "One"), (10, "the QUICK, brown"), (N
          (4, None), (5, "..."), (6, prose(4, 9)), (6, prose(8, 9)), (7, prose(3))]
 
 
-@pytest.mark.parametrize("block", [700, 1 << 20])
-def test_passages(spark, block):
+@pytest.mark.parametrize("block, one_pass", [(700, 1400), (700, 1 << 20), (1 << 20, 1 << 20)])
+def test_passages(spark, monkeypatch, block, one_pass):
+    monkeypatch.setattr(decontam, "SEGMENT", 25 if block == 700 else 20_000)
     df = awkward(spark)
     items = spark.createDataFrame([(*r, "x") for r in ITEMS], "item_id long, text string, hits string")
-    got = sorted(((r.doc_id, r.text, r.n_words, r.n_hit, r["items"]) for r in
-                  decontam.find_passages(df, items, block_bytes=block).collect()), key=str)
+    rows = decontam.find_passages(df, items, block_bytes=block, pass_bytes=one_pass).collect()
+    got = sorted(((r.doc_id, r.text, r.n_words, r.n_hit, r["items"]) for r in rows), key=str)
     want = sorted(((r.doc_id, r.text, *slow_passages(r.text, ITEMS)) for r in
                    df.select("doc_id", "text").collect()), key=str)
     assert got == want
+    for r in rows:  # runs are apart, whatever the blocks, and hold the words that are hit
+        assert all(a["end"] < b["start"] for a, b in zip(r.spans, r.spans[1:]))
+        assert sum(len(normal(r.text[s["start"]:s["end"]])) for s in r.spans) == r.n_hit
+
+
+def test_blocks_read_the_documents_once(spark):
+    """Many blocks and a copied text: a single scan, nothing shuffled, every copy comes out."""
+    docs = sf(spark).select("doc_id", "text")
+    items = docs.limit(40).select(F.col("doc_id").alias("item_id"), "text")
+    docs = docs.unionByName(docs.filter("doc_id < 5"))
+    found = decontam.find_passages(docs, items, block_bytes=4000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    one = decontam.find_passages(docs, items)
+    assert sorted(map(str, found.collect())) == sorted(map(str, one.collect()))
+    assert one.filter("n_hit > 0").count() >= 40
 
 
 def test_offsets_point_into_the_original(spark):

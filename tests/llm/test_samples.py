@@ -121,8 +121,8 @@ def test_repeated_items_stay_in_a_block(spark, monkeypatch):
     """An item that a third of the benchmark's rows repeat counts once."""
     sizes = []
     scanner = decontam._scanner
-    monkeypatch.setattr(decontam, "_scanner", lambda block, window: sizes.append(
-        [len(t) for _, t in block.value]) or scanner(block, window))
+    monkeypatch.setattr(decontam, "_scanner", lambda blocks, *rest: sizes.extend(
+        [len(t) for _, t in block.value] for block in blocks) or scanner(blocks, *rest))
     items = spark.createDataFrame([(0, prose(0))] * 30 + [(k, prose(k)) for k in range(1, 61)],
                                   "item_id long, text string")
     docs = documents(spark, [(1, prose(0)), (2, "none of them")])
