@@ -5,6 +5,11 @@ Every node is content or not.  Its own evidence is a weighted sum of features, a
 between parent and child says how their labels go together, and sum-product messages, first
 upward and then downward, give every node's marginal.  The text of a page is that of its leaves
 with a marginal of a half or more.  Weights and potentials are trained on labelled pages.
+
+A page that marks its article by tag or name is read by such marks, whose weights have a strong
+prior.  On a page without them, other evidence counts: how much of the page's text lies where, in
+what pieces, how much of it is linked.  Its weights are learned from nothing: from pages that mark
+their article, with the marks hidden.
 """
 
 from __future__ import annotations
@@ -22,10 +27,11 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, pieces
 
-#: Pages that the model is trained on at most, and their nodes: no further page once reached.
+#: Pages that the model is trained on at most, and the nodes of their copies: no further page once
+#: reached.
 SAMPLE, SAMPLE_NODES = 300, 100_000
-#: Gradient steps, their size, and the weight of the prior.
-STEPS, RATE, PRIOR = 60, 0.5, 0.02
+#: Gradient steps, their size, and the weight of the prior; that of evidence without a prior mean.
+STEPS, RATE, PRIOR, WEAK_PRIOR = 100, 0.5, 0.02, 0.003
 
 #: Elements without text of their own for a reader.
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video head "
@@ -69,7 +75,16 @@ BAD_NAMES = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs
 FEATURES = {"bias": 0.0, "good_tag": 8.0, "bad_tag": -9.0, "good_name": 4.0, "bad_name": -9.0,
             "text": 0.5, "heading": 0.5, "paragraph": 1.0, "list": -0.5, "long": 1.0,
             "links": -3.0, "sentence": 0.5, "mark": -3.0}
+#: Evidence on pages without a mark: of a leaf, of an element, and of both (the share of the page's text
+#: in the largest element beside the node that has several stretches).
+BARE = ("bare_text", "bare_long", "bare_links", "bare_sentence", "bare_mark", "bare_share", "bare_around",
+        "bare_element", "bare_area", "bare_fan", "bare_linked", "bare_beside")
+FEATURES |= dict.fromkeys(BARE, 0.0)
+#: What the copies of a training page hide: nothing, the marks of its article, all tags and names.
+COPIES = ("", "good", "all")
 _AT = {name: k for k, name in enumerate(FEATURES)}
+_GOOD = [_AT["good_tag"], _AT["good_name"]]
+_MARKS = [*_GOOD, *(_AT[name] for name in ("bad_tag", "bad_name", "heading", "paragraph", "list"))]
 #: Prior mean of the potential between the labels of parent (row) and child (column).
 COUPLING = ((0.0, -8.0), (0.0, 1.0))
 
@@ -168,7 +183,8 @@ def parse(page: str) -> Tree:
     return tree
 
 
-def features(tree: Tree) -> np.ndarray:
+def features(tree: Tree, hidden: str = "") -> np.ndarray:
+    """One row of evidence for each node, without that of ``hidden`` marks (see ``COPIES``)."""
     out = np.zeros((len(tree.parent), len(FEATURES)))
     out[:, _AT["bias"]] = 1
     for k, (parent, tag, names, text, linked) in enumerate(zip(
@@ -189,9 +205,50 @@ def features(tree: Tree) -> np.ndarray:
             row[_AT["bad_tag"]] = tag in BAD_TAGS
             row[_AT["good_name"]] = not names.isdisjoint(GOOD_NAMES) and names.isdisjoint(BAD_NAMES)
             row[_AT["bad_name"]] = not names.isdisjoint(BAD_NAMES)
+    if hidden:
+        out[:, _GOOD if hidden == "good" else _MARKS] = 0
+    if not out[:, _GOOD].any():
+        _bare(tree, out)
     return out
 
 
+def _bare(tree: Tree, out: np.ndarray) -> None:
+    """Fill in the evidence of a page without marks."""
+    n = len(tree.parent)
+    size, linked, leaves = np.zeros(n), np.zeros(n), np.zeros(n)
+    for k in range(n - 1, 0, -1):
+        if tree.text[k] is not None:
+            size[k], leaves[k] = len(tree.text[k]), 1
+            linked[k] = size[k] * min(tree.linked[k], 1.0)
+        for column in (size, linked, leaves):
+            column[tree.parent[k]] += column[k]
+    free = size - linked
+    area = free / max(free[0], 1.0)
+    first, second = np.zeros(n), np.zeros(n)  # largest areas among a node's children
+    for k in range(1, n):
+        if leaves[k] > 1:
+            up, own = tree.parent[k], area[k]
+            first[up], second[up] = max(first[up], own), max(second[up], min(first[up], own))
+    above = np.array(tree.parent)
+    largest = (leaves > 1) & (area == first[above])
+    out[1:, _AT["bare_beside"]] = np.where(largest, second[above], first[above])[1:]
+    leaf = np.array([text is not None for text in tree.text])
+    longest = max(size[leaf].max(initial=0), 1.0)
+    for name, base in (("bare_long", "long"), ("bare_links", "links"), ("bare_sentence", "sentence")):
+        out[leaf, _AT[name]] = out[leaf, _AT[base]]
+    out[leaf, _AT["bare_text"]] = 1
+    out[leaf, _AT["bare_mark"]] = ["©" in t or "all rights reserved" in t.lower()
+                                   for t in tree.text if t is not None]
+    out[leaf, _AT["bare_share"]] = size[leaf] / longest
+    out[leaf, _AT["bare_around"]] = area[above[leaf]]
+    element = ~leaf
+    element[0] = False
+    out[element, _AT["bare_element"]] = 1
+    out[element, _AT["bare_area"]] = area[element]
+    out[element, _AT["bare_fan"]] = np.minimum(leaves[element], 10) / 10
+    out[element, _AT["bare_linked"]] = linked[element] / np.maximum(size[element], 1.0)
+
+
 @dataclass
 class Model:
     weight: np.ndarray
@@ -261,12 +318,13 @@ def labels(tree: Tree) -> list[int] | None:
 
 def fit(pages: list[str]) -> Model:
     """Maximum a posteriori weights and potentials on pages that ``labels`` can label."""
-    return fit_trees([(tree.parent, features(tree), out) for tree in map(parse, pages)
-                      if (out := labels(tree)) is not None])
+    return fit_trees([(tree.parent, np.stack([features(tree, hidden) for hidden in COPIES]), out)
+                      for tree in map(parse, pages) if (out := labels(tree)) is not None])
 
 
 def fit_trees(known: list[tuple[list[int], np.ndarray, list[int]]]) -> Model:
-    """The same on parents, features and labels of the nodes of pages."""
+    """The same on parents, features (of each copy) and labels of the nodes of pages."""
+    known = [(parent, x, out) for parent, copies, out in known for x in copies]
     prior = np.array(list(FEATURES.values())), np.array(COUPLING)
     model = Model(prior[0].copy(), prior[1].copy())
     if not known:
@@ -277,13 +335,17 @@ def fit_trees(known: list[tuple[list[int], np.ndarray, list[int]]]) -> Model:
         for k in range(1, len(out)):
             seen[out[parent[k]], out[k]] += 1
     n = sum(map(len, truth))
+    # Steps for evidence without a prior mean are as large as its own nodes say, not all nodes.
+    learned = np.array([name in BARE for name in FEATURES])
+    active = np.maximum(sum((x * x).sum(axis=0) for _, x, _ in known), 1.0)
+    share, pull = np.where(learned, active, n), np.where(learned, WEAK_PRIOR, PRIOR)
     for _ in range(STEPS):
         slope, pairs = np.zeros(len(FEATURES)), np.zeros((2, 2))
         for (parent, x, _), y in zip(known, truth):
             p, expected = model.beliefs(parent, (x @ model.weight).tolist())
             slope += x.T @ (y - np.array(p))
             pairs += expected
-        model.weight += RATE * (slope / n - PRIOR * (model.weight - prior[0]))
+        model.weight += RATE * (slope / share - pull * (model.weight - prior[0]))
         model.coupling += RATE * ((seen - pairs) / n - PRIOR * (model.coupling - prior[1]))
     return model
 
@@ -295,9 +357,9 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree = parse(page)
             if (out := labels(tree)) is not None:
                 yield pa.RecordBatch.from_pylist([{
-                    "page_id": page_id, "code": code, "n": len(out),
+                    "page_id": page_id, "code": code, "n": len(COPIES) * len(out),
                     "parent": np.array(tree.parent, dtype=np.int64).tobytes(),
-                    "features": features(tree).tobytes(),
+                    "features": b"".join(features(tree, hidden).tobytes() for hidden in COPIES),
                     "labels": np.array(out, dtype=np.int64).tobytes()}])
 
 
@@ -321,7 +383,7 @@ def learn(pages: DataFrame) -> Model:
     some = pages.sparkSession.createDataFrame(taken, "page_id long, code long")
     rows = parsed.join(F.broadcast(some), ["page_id", "code"]).orderBy("page_id", "code").collect()
     return fit_trees([(np.frombuffer(r.parent, np.int64).tolist(),
-                       np.frombuffer(r.features).reshape(-1, len(FEATURES)),
+                       np.frombuffer(r.features).reshape(len(COPIES), -1, len(FEATURES)),
                        np.frombuffer(r.labels, np.int64).tolist()) for r in rows])
 
 

@@ -271,3 +271,51 @@ def test_names_of_what_is_not_there(spark):
     for name in ("entry-content no-ads", "post has-sidebar with-comments", "content non_sponsored"):
         page = f"<html><body><div class='{name}'>{article}</div><div class='ads'>Buy it now!</div></body></html>"
         assert html.fit([]).extract(page) == f"Title\n{prose(4, 60)}.\n{prose(5, 40)}."
+
+
+def test_learned_evidence_reads_pages_without_marks(spark):
+    """Held-out pages, all tags and names hidden: the prior alone keeps an advert on each."""
+    pages = [r.html for r in sf(spark, "pages", "0.01").orderBy("page_id").select("html").collect()]
+    learned, held = pages[:100], [html.parse(p) for p in pages[100:]]
+    right = {}
+    for name, model in (("prior", html.fit([])), ("learned", html.fit(learned))):
+        right[name] = 0
+        for tree in held:
+            p, _ = model.beliefs(tree.parent, (html.features(tree, "all") @ model.weight).tolist())
+            right[name] += all((b >= 0.5) == y for b, y, t in zip(p, html.labels(tree), tree.text)
+                               if t is not None)
+    assert right["learned"] >= 0.85 * len(held) > 0.5 * len(held) > right["prior"]
+
+
+def test_pages_without_marks(spark):
+    model = html.fit([r.html for r in sf(spark, "pages", "0.01").limit(100).collect()])
+    body = "".join(f"<div><h2>Part {k}</h2><p>{prose(k, 40)}.</p><p>{prose(k + 50, 40)}.</p></div>" for k in range(4))
+    want = "\n".join(f"Part {k}\n{prose(k, 40)}.\n{prose(k + 50, 40)}." for k in range(4))
+    rights = "<div>Copyright 2020 Foo. All rights reserved</div>"
+    assert model.extract(f"<body><div>{body}</div>{rights}</body>") == want
+    assert model.extract(f"<body><div>{body}</div><div class='comments'><p>{prose(99, 80)}.</p></div></body>") == want
+
+
+def slow_evidence(tree):
+    """Shares by walking each subtree."""
+    n = len(tree.parent)
+    children = [[k for k in range(1, n) if tree.parent[k] == j] for j in range(n)]
+
+    def inside(k):
+        return [k] if tree.text[k] is not None else [x for c in children[k] for x in inside(c)]
+
+    free = [sum(len(tree.text[x]) * (1 - min(tree.linked[x], 1)) for x in inside(k)) for k in range(n)]
+    for k in range(1, n):
+        beside = [free[c] / max(free[0], 1) for c in children[tree.parent[k]] if c != k and len(inside(c)) > 1]
+        yield free[k] / max(free[0], 1), min(len(inside(k)), 10) / 10, max(beside, default=0)
+
+
+@pytest.mark.parametrize("page", [PAGE.replace('id="content"', ""), "<p>one", "", "<div>a<div>b<p>c</div></div>"
+                                  "<ul><li><a href=x>d</a><li>e</ul><div>f<p>g<p>h</div>tail"])
+def test_evidence_agrees_with_walking(page):
+    tree = html.parse(page)
+    x, at = html.features(tree), {name: k for k, name in enumerate(html.FEATURES)}
+    for k, (area, fan, beside) in enumerate(slow_evidence(tree), 1):
+        assert x[k, at["bare_beside"]] == pytest.approx(beside)
+        if tree.text[k] is None:
+            assert (x[k, at["bare_area"]], x[k, at["bare_fan"]]) == pytest.approx((area, fan))
