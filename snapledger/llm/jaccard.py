@@ -1,7 +1,12 @@
 """Near-duplicates by the share of word shingles: pairs of at least 0.8 five-word Jaccard.
 
-Texts with the same set of shingles are one set.  Each set gets ``BANDS`` keys of ``ROWS`` minima
-of its hashes; sets that share a key are candidates (a pair of 0.8 shares none with a probability
+Texts with the same set of shingles are one set.  Sets are searched by operator 1's index first:
+its fingerprints are linked at ``DISTANCE`` or fewer differing bits through the Gray-order hierarchy.
+What it links is compared by whole sets.
+
+A pair of 0.8 may differ in twelve bits, further than an index of 64 bits can search a large corpus.
+So each set also gets ``BANDS`` keys of ``ROWS`` minima of its hashes; sets that share a
+key and are not connected by the index are candidates (a pair of 0.8 shares none with a probability
 of 3 in a million, a closer one more rarely).  Candidates are compared by their whole sets.
 
 Sets that share keys, directly or by others, are a cluster, found from keys alone.  A cluster of
@@ -24,10 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Scratch, pieces, small, texts
-from .simhash import SEED, components
+from .simhash import SEED, components, fingerprint, groups
 
 #: Words of a shingle, and the least similarity as a fraction.
 SIZE, SHARE = 5, (4, 5)
+#: Differing bits of two fingerprints that are searched by the index.
+DISTANCE = 6
 #: Keys of a set, minima in each, and how many keys are searched first.
 BANDS, ROWS, EARLY = 24, 4, 2
 #: Sets of a tile and their shingles, about.
@@ -70,12 +77,14 @@ def _signed(values: list[int]) -> np.ndarray:
 
 def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 1 << 20):
-        sets = [shingles(t) for t in texts(batch.column("text"))]
+        read = texts(batch.column("text"))
+        sets = [shingles(t) for t in read]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(_signed([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets])),
              pa.array([len(s) for s in sets], pa.int64()),
+             pa.array(_signed([fingerprint(t) for t in read])),
              pa.array([_signed(keys(s)) for s in sets], pa.list_(pa.int64()))],
-            names=[*batch.schema.names, "set", "size", "keys"])
+            names=[*batch.schema.names, "set", "size", "fp", "keys"])
 
 
 def connected(sets: Sequence[np.ndarray], label: np.ndarray) -> np.ndarray:
@@ -164,12 +173,31 @@ class _Search:
             "root", F.coalesce("root", "set"))
 
 
+def _alike(search: _Search, sets: DataFrame) -> None:
+    """Compare sets whose fingerprints the index links, directly or by others."""
+    scratch = search.scratch
+    inner = Scratch(scratch.spark, "jaccard-index")
+    codes = inner.keep(sets.groupBy("fp").agg(F.count("*").alias("n")), "codes")
+    placed = groups(inner, codes, DISTANCE)
+    several = placed.groupBy("root").agg(F.sum("n").alias("n")).filter("n > 1").select("root")
+    near = scratch.keep(placed.join(several, "root").select("fp", F.col("root").alias("key")), "near")
+    inner.drop("")
+    members = scratch.keep(sets.join(small(near), "fp").select(
+        "set", "size", F.col("set").alias("root"), "key"), "alike")
+    found = scratch.keep(_candidates(members), "alike-candidates")
+    if not found.isEmpty():
+        tiles = _tiles(members, found).withColumn("root", F.col("set"))
+        search.compare(scratch.keep(tiles, "alike-tiles"), "alike")
+    scratch.drop("near", "alike", "alike-candidates", "alike-tiles")
+
+
 def _shared(scratch: Scratch, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sets that share keys, by clusters: (cluster, set) of clusters that are one tile, and the
-    sets of all others."""
-    members = sets.select("set", F.explode("keys").alias("key"))
-    live = scratch.keep(members.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high"))
-                        .filter("low != high").select("key", "low"), "live")
+    """Sets that share keys and are not all connected, by clusters: (cluster, set, root) of clusters
+    that are one tile, and the sets of all others."""
+    members = sets.select("set", "root", F.explode("keys").alias("key"))
+    live = scratch.keep(members.groupBy("key").agg(
+        F.min("set").alias("low"), F.min("root").alias("r"), F.max("root").alias("s"))
+        .filter("r != s").select("key", "low"), "live")
     stars = scratch.keep(members.join(live, "key").filter("set != low").select(
         F.col("set").alias("u"), F.col("low").alias("v")).distinct(), "stars")
     inner = Scratch(scratch.spark, "jaccard-clusters")
@@ -183,7 +211,8 @@ def _shared(scratch: Scratch, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("n"), F.sum("size").alias("weight"))
         .filter((F.col("n") > TILE) | (F.col("weight") > TILE_SHINGLES)).select("cluster"), "wide")
     crowd = scratch.keep(sets.join(clusters.join(small(wide), "cluster", "left_semi"), "set"), "crowd")
-    fitting = scratch.keep(clusters.join(small(wide), "cluster", "left_anti"), "fitting")
+    fitting = scratch.keep(clusters.join(small(wide), "cluster", "left_anti").join(
+        sets.select("set", "root"), "set"), "fitting")
     scratch.drop("live", "stars", "clusters", "wide")
     return fitting, crowd
 
@@ -191,15 +220,18 @@ def _shared(scratch: Scratch, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 def roots(scratch: Scratch, marked: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, root) for every set that is connected with another."""
     search = _Search(scratch, marked, sets)
+    sets = sets.filter("size > 0")
+    _alike(search, sets)
+    sets = scratch.keep(search.placed(sets), "searched")
     fitting, crowd = _shared(scratch, sets)
     if not fitting.isEmpty():
         search.compare(fitting.select(F.col("cluster").alias("key"), F.lit(0).cast("long").alias("tile"),
-                                      "set", F.col("set").alias("root")), "fitting")
+                                      "set", "root"), "fitting")
     if not crowd.isEmpty():
-        members = scratch.keep(crowd.select("set", "size", F.col("set").alias("root"), F.explode(
+        members = scratch.keep(crowd.select("set", "size", "root", F.explode(
             F.slice("keys", 1, EARLY)).alias("key")), "members")
         found = scratch.keep(_candidates(members), "candidates")
-        tiles = _tiles(members, found).withColumn("root", F.col("set"))
+        tiles = _tiles(members, found).join(sets.select("set", "root"), "set")
         search.compare(scratch.keep(tiles, "tiles"), "early")
         scratch.drop("members", "candidates", "tiles")
         _finish(search, crowd)
@@ -277,12 +309,13 @@ def first_rows(documents: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = documents.select(*columns, F.monotonically_increasing_id().alias("row"))
     schema = T.StructType([*rows.schema.fields, T.StructField("set", T.LongType()),
                            T.StructField("size", T.LongType()),
+                           T.StructField("fp", T.LongType()),
                            T.StructField("keys", T.ArrayType(T.LongType()))])
     marked = scratch.keep(rows.mapInArrow(_marker, schema), "rows")
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id",
                      F.xxhash64(*columns).alias("code"), "row")
     sets = scratch.keep(marked.groupBy("set").agg(
-        F.min(order).alias("first"), F.min(F.struct("row", "size", "keys")).alias("any"))
+        F.min(order).alias("first"), F.min(F.struct("row", "size", "fp", "keys")).alias("any"))
         .select("set", "any.*", "first"), "sets")
     linked = roots(scratch, marked, sets)
     named = sets.join(linked, sets["set"] == linked["node"], "left").select(
@@ -293,5 +326,5 @@ def first_rows(documents: DataFrame, columns: Sequence[str]) -> DataFrame:
     gone = marked.select("row", "set").join(chosen.select("row"), "row", "left_anti").select("row")
     gone = scratch.keep(gone, "gone")
     kept = marked.join(small(gone), "row", "left_anti")
-    scratch.drop("sets", "fitting", "crowd")
+    scratch.drop("sets", "searched", "fitting", "crowd")
     return kept.select(*columns)

@@ -250,6 +250,16 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     return table.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def groups(scratch: Scratch, codes: DataFrame, distance: int = DISTANCE,
+           node_limit: int = NODE_LIMIT) -> DataFrame:
+    """``codes`` (each fp once) with ``root``, the smallest fp that each reaches by steps of at
+    most ``distance`` bits."""
+    linked = scratch.keep(links(scratch, codes.select("fp"), distance, node_limit), "links")
+    roots = components(scratch, linked)
+    return scratch.keep(codes.join(roots, codes.fp == roots.node, "left").select(
+        *codes.columns, F.coalesce("root", "fp").alias("root")), "placed")
+
+
 def near_duplicates(documents: DataFrame, distance: int = DISTANCE,
                     node_limit: int = NODE_LIMIT) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) for every
@@ -265,10 +275,7 @@ def near_duplicates(documents: DataFrame, distance: int = DISTANCE,
         _fingerprints, "doc_id long, fp long"), "fingerprints")
     codes = scratch.keep(marked.groupBy("fp").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("n")), "codes")
-    linked = scratch.keep(links(scratch, codes.select("fp"), distance, node_limit), "links")
-    roots = components(scratch, linked)
-    placed = scratch.keep(codes.join(roots, codes.fp == roots.node, "left").select(
-        "fp", "least", "n", F.coalesce("root", "fp").alias("root")), "placed")
+    placed = groups(scratch, codes, distance, node_limit)
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"),
                                        F.count("*").alias("n_codes"))
     n_codes = placed.count()

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from snapledger.llm import jaccard, stages
+from snapledger.llm import jaccard, simhash, stages
 from snapledger.llm.common import ready
 
 from .frames import documents, prose, sf
@@ -102,6 +102,31 @@ def test_templates_share_keys_but_no_links(spark, monkeypatch):
     assert sum(n for _, n in sent) < 6 * len(rows)
 
 
+def test_operator_1_searches_first(spark, monkeypatch):
+    """Near copies within reach of the fingerprint index are compared because it links them, and leave
+    nothing to the keys; one beyond its reach is found by keys.  A link of the index is checked."""
+    base = prose(3, 400)
+    near, far = edited(base, [200]), edited(base, range(20, 380, 25))
+    loop = "to be or not to be is the question " * 60
+    rows = [(0, base), (1, near), (2, prose(4, 200)), (3, loop + "that is all"), (4, loop + "and so on it goes")]
+    bits = [simhash.fingerprint(t.encode()) for t in (base, near, far, rows[3][1], rows[4][1])]
+    assert (bits[0] ^ bits[1]).bit_count() <= jaccard.DISTANCE < (bits[0] ^ bits[2]).bit_count()
+    assert (bits[3] ^ bits[4]).bit_count() <= jaccard.DISTANCE
+    sent = []
+    compare = jaccard._Search.compare
+    monkeypatch.setattr(jaccard._Search, "compare", lambda self, tiles, name: (
+        sent.append((name, tiles.count())), compare(self, tiles, name)))
+    assert [d for d, _ in kept(spark, rows[:3])] == [0, 2] and sent == [("alike", 2)]
+    sent.clear()
+    roots, _ = slow_groups([t for _, t in rows])
+    assert roots == [0, 0, 2, 3, 4] and [d for d, _ in kept(spark, rows)] == [0, 2, 3, 4]
+    assert sent[0] == ("alike", 4)
+    sent.clear()
+    rows = [(0, base), (1, edited(base, [40, 90, 140, 190, 240, 290, 340])), (2, far)]
+    roots, _ = slow_groups([t for _, t in rows])
+    assert [d for d, _ in kept(spark, rows)] == [i for i in range(3) if roots[i] == i]
+
+
 def test_one_row_of_each_group(spark):
     """Repeated rows, an id in two groups, and rows without an id."""
     a, b, c, d = (prose(k, 80) for k in (3, 4, 7, 11))
