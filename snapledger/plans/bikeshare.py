@@ -46,6 +46,8 @@ from ..sources.envelope import entity_columns, present_columns, project_required
 INFORMATION_COLUMNS = list(INFORMATION_FIELDS)
 STATUS_COLUMNS = [*STATUS_FIELDS, BIKE_TYPES_FIELD]
 ORIGIN = ["file", "file_time", "pos"]
+#: :func:`file_instant`, where it was read once for each document before its elements were spread.
+TAKEN = "taken"
 
 ROLES = Roles(key="id_station", ts="date_collecte", available="velos_disponibles",
               capacity="capacite", free="bornes_disponibles", label="nom")
@@ -61,9 +63,22 @@ def file_instant() -> Column:
     return F.coalesce(instant_from_name(F.col("file")), F.col("file_time"))
 
 
+def with_instant(documents: DataFrame) -> DataFrame:
+    """Documents with their instant, so that no element has to read it from the path again."""
+    return documents.withColumn(TAKEN, file_instant())
+
+
+def origin_instant(bronze: DataFrame) -> Column:
+    return F.col(TAKEN) if TAKEN in bronze.columns else file_instant()
+
+
+def origin(bronze: DataFrame) -> list[str]:
+    return [*ORIGIN, TAKEN] if TAKEN in bronze.columns else ORIGIN
+
+
 def build_station(bronze: DataFrame) -> DataFrame:
     """Station dimension.  Of several snapshots the newest wins, within one the first row."""
-    renamed = (project_required(bronze, [*ORIGIN, *INFORMATION_FIELDS])
+    renamed = (project_required(bronze, [*origin(bronze), *INFORMATION_FIELDS])
                .withColumnsRenamed(INFORMATION_FIELDS))
     typed = renamed.withColumns({
         "id_station": to_long_or_null(F.col("id_station")),
@@ -74,14 +89,14 @@ def build_station(bronze: DataFrame) -> DataFrame:
     })
     keyed = drop_incomplete(typed, ["id_station", "nom"]).withColumn(
         "capacite", to_int_or_zero(F.col("capacite")))
-    arrival = [file_instant().desc(), F.col("file").desc(), F.col("pos").asc()]
+    arrival = [origin_instant(bronze).desc(), F.col("file").desc(), F.col("pos").asc()]
     return conform(dedup_first(keyed, ["id_station"], arrival), STATION)
 
 
 def typed_readings(bronze: DataFrame, instant: datetime | Column) -> DataFrame:
     """Complete readings with typed columns, repeats included; works on a stream as well."""
     fields = {**STATUS_FIELDS, BIKE_TYPES_FIELD: "types"}
-    renamed = (project_required(bronze, [*ORIGIN, *fields]).withColumnsRenamed(fields)
+    renamed = (project_required(bronze, [*origin(bronze), *fields]).withColumnsRenamed(fields)
                .withColumn("date_collecte", batch_instant(instant)))
     counted = renamed.withColumn("sums", pivot_sum(F.col("types"), BIKE_TYPES))
     typed = counted.withColumns({

@@ -51,9 +51,9 @@ from .bikeshare import (
     build_readings,
     build_station,
     daily_partials,
-    file_instant,
     known_latest,
     network_sql,
+    origin_instant,
     unreadable_counts,
 )
 from .monitoring import MonitoringLog, freshness
@@ -174,7 +174,7 @@ def run_silver(wh: Warehouse, information: DataFrame, status: DataFrame, at: dat
                  snapshot="file", element="pos")
         described = stage_columns(stage, information, INFORMATION_COLUMNS)
         station = stage(build_station(described))
-        reading = stage(build_readings(bronze, file_instant() if instant is None else instant))
+        reading = stage(build_readings(bronze, origin_instant(bronze) if instant is None else instant))
         validate(spark, station, station_suite(settings.rows, settings.variant),
                  "silver_station_suite", SILVER_DAG, at, log)
         validate(spark, reading, reading_suite(settings.rows), "silver_releve_suite",
@@ -216,7 +216,7 @@ def log_freshness(wh: Warehouse, information: DataFrame, reading: DataFrame, at:
     """How old the newest snapshot of each feed is."""
     seen = reading.select(F.lit(STATUS).alias("source"), F.col("date_collecte").alias("instant"))
     seen = seen.unionByName(information.select(
-        F.lit(INFORMATION).alias("source"), batch_instant(file_instant()).alias("instant")))
+        F.lit(INFORMATION).alias("source"), batch_instant(origin_instant(information)).alias("instant")))
     wh.log.freshness(freshness(seen, "source", "instant", at, settings.fresh_minutes))
 
 

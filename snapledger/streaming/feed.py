@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import insert_new
+from ..plans.bikeshare import with_instant
 from ..plans.medallion import Settings, Warehouse, check_freshness, run_batch
 from ..schemas import DAMAGED_KEY
-from ..sources.envelope import explode_payload, read_envelope, sort_out, stream_documents
+from ..sources.envelope import explode_payload, read_documents, sort_out, stream_documents
 from ..sources.landing import LANDED_GLOB, latest_snapshot
 
 
@@ -38,6 +39,11 @@ def first_attempt(spark: SparkSession, checkpoint: str, batch_id: int) -> tuple[
     return datetime.fromtimestamp(millis / 1000, timezone.utc), repeated
 
 
+def elements(documents: DataFrame) -> DataFrame:
+    """The envelope of whole documents; the instant is read once for each document."""
+    return explode_payload(with_instant(documents), "payload", keep_empty=True)
+
+
 def start_feed(wh: Warehouse, information_path: str, status_path: str, checkpoint: str,
                settings: Settings = Settings(), glob: str = LANDED_GLOB, latest_only: bool = False,
                max_files: int | None = None, interval: str | None = None,
@@ -60,7 +66,7 @@ def start_feed(wh: Warehouse, information_path: str, status_path: str, checkpoin
             if newest is None:
                 return
             batch = batch.filter(F.col("file") == newest.file)
-        information = read_envelope(spark, latest_snapshot(spark, information_path, glob), glob=glob)
+        information = elements(read_documents(spark, latest_snapshot(spark, information_path, glob), glob))
         at, wh.log.repeated = first_attempt(spark, checkpoint, batch_id)
         if dead_letters:
             batch, damaged = sort_out(batch)
@@ -68,7 +74,7 @@ def start_feed(wh: Warehouse, information_path: str, status_path: str, checkpoin
             wh.damaged.append(insert_new(wh.damaged.colliding(damaged), damaged, DAMAGED_KEY))
         try:
             if not dead_letters or not batch.isEmpty():
-                run_batch(wh, information, explode_payload(batch, "payload", keep_empty=True), at, settings)
+                run_batch(wh, information, elements(batch), at, settings)
         finally:
             wh.log.repeated = False
 
@@ -86,7 +92,7 @@ def replay(wh: Warehouse, information: DataFrame, mended: DataFrame, at: datetim
     what is stored already stays as it is.
     """
     documents = mended.select("file", "file_time", "payload")
-    run_batch(wh, information, explode_payload(documents, "payload", keep_empty=True), at, settings)
+    run_batch(wh, information, elements(documents), at, settings)
 
 
 def start_freshness(wh: Warehouse, checkpoint: str, interval: str = "5 minutes",

@@ -1,10 +1,14 @@
 import pytest
 from feeds import BOUNDS, STATIONS, STATUS_1, STATUS_2, at, rows, status, write
 
+from pyspark.sql import functions as F
+
 from snapledger.plans import medallion
+from snapledger.plans.bikeshare import STATUS_COLUMNS, build_readings, file_instant, origin_instant
 from snapledger.plans.medallion import Settings, Warehouse, run_batch
-from snapledger.sources import read_envelope
+from snapledger.sources import entity_columns, explode_payload, read_envelope
 from snapledger.streaming import start_feed
+from snapledger.streaming.feed import elements
 from pyspark.errors import StreamingQueryException
 
 SETTINGS = Settings(rows=BOUNDS)
@@ -75,3 +79,23 @@ def test_a_failed_batch_is_repeated_without_effect(spark, feed, monkeypatch):
     run_batch(whole, read_envelope(spark, f"{feed}/information"),
               read_envelope(spark, f"{feed}/status"), at(9), SETTINGS)
     assert contents(wh) == contents(whole)
+
+
+def test_instant_is_read_once_for_each_document(spark):
+    """The stamp of a path costs two patterns: that is for documents, not for their elements."""
+    payload = '{"data": {"stations": [%s]}}' % ", ".join(
+        '{"station_id": %d, "stationCode": "a", "num_bikes_available": 1, "num_docks_available": 2,'
+        ' "num_bikes_available_types": [], "is_installed": 1, "is_returning": 1, "is_renting": 1,'
+        ' "last_reported": 1704067200}' % i for i in range(3))
+    documents = spark.createDataFrame(
+        [("bronze/batch_ts=20240101_080500/part-0.txt", "2024-01-02 00:00:00", payload),
+         ("bronze/plain.json", "2024-01-03 00:00:00", payload)],
+        "file string, file_time string, payload string").withColumn("file_time", F.col("file_time").cast("timestamp"))
+    fed = entity_columns(elements(documents), STATUS_COLUMNS)
+    plain = entity_columns(explode_payload(documents, "payload", keep_empty=True), STATUS_COLUMNS)
+    rows = build_readings(fed, origin_instant(fed))
+    assert sorted(rows.collect()) == sorted(build_readings(plain, file_instant()).collect())
+    assert sorted({str(r.date_collecte) for r in rows.collect()}) == ["2024-01-01 08:05:00", "2024-01-03 00:00:00"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate", 1)
+    assert "batch_ts" not in above and "batch_ts" in below
